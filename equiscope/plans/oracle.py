@@ -69,6 +69,10 @@ def pvalue_sql(z: str) -> str:
     return erfc_sql(f"(abs({z}) * {0.5 ** 0.5!r})")
 
 
+def rounded_expr(expr: str, digits: int = 9) -> str:
+    return f"(round({expr}, {digits}) + 0e0)"
+
+
 def rounded(col: str, digits: int = 9) -> str:
     return f"(round({col}, {digits}) + 0e0) AS {col}"
 

@@ -116,17 +116,17 @@ def institutions_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
 # SQL text of the same binding (DuckDB dialect) for the correctness oracle.
 FACT_SQL = """
 SELECT CAST(year(o_orderdate) AS INTEGER) AS year, l_suppkey AS unitid,
-  lpad(replace(p_brand,'Brand#',''),2,'0')||'.'||lpad(CAST(p_size AS VARCHAR),4,'0') AS cipcode,
+  lpad(replace(p_brand,'Brand#',''),2,'0')||'.'||lpad(CAST(p_size AS STRING),4,'0') AS cipcode,
   o_orderpriority AS awlevel,
   CASE WHEN l_linenumber<=5 THEN 1 ELSE 2 END AS majornum,
-  lpad(replace(p_brand,'Brand#',''),2,'0')||'.'||lpad(CAST(p_size AS VARCHAR),4,'0') AS cip2020,
+  lpad(replace(p_brand,'Brand#',''),2,'0')||'.'||lpad(CAST(p_size AS STRING),4,'0') AS cip2020,
   c_mktsegment AS race_ethnicity,
   CASE WHEN l_linestatus='F' THEN 'women' ELSE 'men' END AS gender,
   CAST(l_quantity AS BIGINT) AS n_awards,
-  'Code '||lpad(replace(p_brand,'Brand#',''),2,'0')||'.'||lpad(CAST(p_size AS VARCHAR),4,'0') AS cip_title,
+  'Code '||lpad(replace(p_brand,'Brand#',''),2,'0')||'.'||lpad(CAST(p_size AS STRING),4,'0') AS cip_title,
   CASE WHEN CAST(replace(p_brand,'Brand#','') AS INTEGER)%7 < 4
        THEN 'Science and engineering' ELSE 'Non-science and engineering' END AS ncses_sci_group,
-  'FG'||CAST(CAST(replace(p_brand,'Brand#','') AS INTEGER)%7 AS VARCHAR) AS ncses_field_group,
+  'FG'||CAST(CAST(replace(p_brand,'Brand#','') AS INTEGER)%7 AS STRING) AS ncses_field_group,
   p_brand AS ncses_detailed_field_group,
   CASE CAST(replace(p_brand,'Brand#','') AS INTEGER)%7
        WHEN 0 THEN 'Mathematical and computer sciences' WHEN 1 THEN 'Engineering'
