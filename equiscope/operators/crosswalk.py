@@ -254,7 +254,7 @@ def taxonomy_lookup(table: DataFrame, overrides: DataFrame | None = None) -> Dat
     nsf = F.create_map(*[F.lit(x) for kv in NSF_BROAD_FIELD_MAP.items() for x in kv])
     return t.withColumn(
         "nsf_broad_field",
-        F.coalesce(nsf.getItem(F.col("ncses_field_group")), nsf.getItem(F.col("ncses_sci_group"))),
+        F.coalesce(nsf[F.col("ncses_field_group")], nsf[F.col("ncses_sci_group")]),
     )
 
 

@@ -134,7 +134,7 @@ def subtotal_grid(
         *field_k,
         *[F.col("_grp")[c].alias(c) for c in gcols],
         *year_k,
-        F.coalesce(F.col("_fgmap").getItem(key_struct), F.lit(0)).cast("long").alias(fg_name),
+        F.coalesce(F.col("_fgmap")[key_struct], F.lit(0)).cast("long").alias(fg_name),
         F.col(ft_name),
         F.col("_grp")[gt_name].alias(gt_name),
         F.col(t_name),

@@ -135,8 +135,8 @@ def unpivot_groups(
     )
     return long.select(
         *ids,
-        lut.getItem(F.col("__code"))["r"].alias("race_ethnicity"),
-        lut.getItem(F.col("__code"))["g"].alias("gender"),
+        lut[F.col("__code")]["r"].alias("race_ethnicity"),
+        lut[F.col("__code")]["g"].alias("gender"),
         F.col(measure),
     )
 
@@ -164,7 +164,7 @@ def map_award_level(code: Column) -> Column:
     """Integer award level code -> label; unknown codes -> "Unknown".
     Non-integer text raises (as an integer cast of the raw column would)."""
     lut = F.create_map(*[x for k, v in AWARD_LEVEL_CODES.items() for x in (F.lit(k), F.lit(v.value))])
-    return F.coalesce(lut.getItem(code.cast("int")), F.lit(AwardLevel.unknown.value))
+    return F.coalesce(lut[code.cast("int")], F.lit(AwardLevel.unknown.value))
 
 
 def default_majornum(df: DataFrame) -> DataFrame:

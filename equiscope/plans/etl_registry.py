@@ -694,3 +694,82 @@ def _order_by_oracle() -> str:
 
 
 ORACLE["order_by_keys"] = _order_by_oracle()
+
+
+# ---------------------------------------------------------------------------
+# scalar functions on the per-institution grid (zero-filled rows give the
+# 0 / -inf edge cases)
+
+SCALAR_SPEC = dict(grouping="gender", agg_type="field", per_unit=True, field="ncses_field_group", by_year=True,
+                   start_year=1984, end_year=2024)
+
+
+def scalar_grid(spark, sf_dir) -> DataFrame:
+    from equiscope.operators.filters import QueryFilters
+
+    eng = engine_for(spark, sf_dir)
+    return eng.uni_field_totals_by_grouping("gender", "ncses_field_group", QueryFilters(strict=False), by_year=True,
+                                            rel_rate=True)
+
+
+def _scalar_sql(select: str) -> str:
+    ctes, _ = O.grid_sql(**SCALAR_SPEC)
+    ctes += [O.rates_cte("grid", "field", "gender"), O.rates_select("rated0", "field")]
+    return O.with_cte(*ctes) + "\n" + select
+
+
+KEYS = "unitid, ncses_field_group, gender, year"
+
+
+@reg("rel_rate_transforms", _scalar_sql(f"""SELECT {KEYS}, {O.rounded('rel_rate')}, {O.rounded('log2_rel_rate')},
+  {O.rounded('fold_rel_rate')}, {O.rounded('bounded_rel_rate')},
+  {O.rounded_expr("CASE WHEN isnan(fold_rel_rate) THEN CAST('NaN' AS DOUBLE) WHEN fold_rel_rate < 0 THEN -1e0 / (fold_rel_rate - 1e0) ELSE fold_rel_rate + 1e0 END")} AS inverse_fold,
+  {O.rounded_expr("CASE WHEN isnan(bounded_rel_rate) THEN CAST('Infinity' AS DOUBLE) WHEN bounded_rel_rate <= 0 THEN bounded_rel_rate + 1e0 WHEN bounded_rel_rate < 1 THEN 1e0 / (1e0 - bounded_rel_rate) ELSE CAST('Infinity' AS DOUBLE) END")} AS inverse_bounded
+FROM rated"""))
+def q_rel_rate_transforms(spark, sf_dir):
+    g = scalar_grid(spark, sf_dir)
+    out = g.select(
+        "unitid", "ncses_field_group", "gender", "year", "rel_rate", "log2_rel_rate", "fold_rel_rate", "bounded_rel_rate",
+        R.inverse_fold_transform("fold_rel_rate").alias("inverse_fold"),
+        R.inverse_bounded_ratio_transform("bounded_rel_rate").alias("inverse_bounded"),
+    )
+    return presentable(out)
+
+
+@reg("group_share", _scalar_sql(f"""SELECT {KEYS},
+  {O.rounded_expr(O.safe_div('field_degrees_within_gender', 'field_degrees_total'))} AS share_within_field,
+  {O.rounded_expr(O.safe_div('uni_degrees_within_gender', 'uni_degrees_total'))} AS share_of_all_fields FROM rated"""))
+def q_group_share(spark, sf_dir):
+    g = scalar_grid(spark, sf_dir)
+    g = R.group_share(g, "field_degrees_within_gender", "field_degrees_total", "share_within_field")
+    g = R.group_share(g, "uni_degrees_within_gender", "uni_degrees_total", "share_of_all_fields")
+    return presentable(g.select("unitid", "ncses_field_group", "gender", "year", "share_within_field", "share_of_all_fields"))
+
+
+@reg("zscore_pvalue", _scalar_sql(f"""SELECT {KEYS}, {O.rounded('z')}, {O.rounded_expr(O.pvalue_sql('z'))} AS p FROM (
+  SELECT *, {O.zscore_sql('field_degrees_within_gender', 'field_degrees_total', 'uni_degrees_within_gender', 'uni_degrees_total')} AS z FROM rated)"""))
+def q_zscore_pvalue(spark, sf_dir):
+    g = scalar_grid(spark, sf_dir)
+    g = add_zscore(g, R.Rate("field_pct", "field_degrees_within_gender", "field_degrees_total"),
+                   R.Rate("uni_pct", "uni_degrees_within_gender", "uni_degrees_total"), "t")
+    return presentable(g.select("unitid", "ncses_field_group", "gender", "year", F.col("t_zscore").alias("z"), F.col("t_pvalue").alias("p")))
+
+
+@reg("median_rel_rate", _scalar_sql("""SELECT ncses_field_group, gender, year, (min(rel_rate) + max(rel_rate)) / 2e0 AS median_rel_rate
+FROM (SELECT ncses_field_group, gender, year, rel_rate,
+  row_number() OVER (PARTITION BY ncses_field_group, gender, year ORDER BY rel_rate) - 1 AS r,
+  count(*) OVER (PARTITION BY ncses_field_group, gender, year) AS n FROM rated WHERE NOT isnan(rel_rate))
+WHERE r = (n - 1) // 2 OR r = n // 2 GROUP BY ncses_field_group, gender, year"""))
+def q_median_rel_rate(spark, sf_dir):
+    g = scalar_grid(spark, sf_dir)
+    return median_by(g, ["ncses_field_group", "gender", "year"], "rel_rate", "median_rel_rate")
+
+
+@reg("median_rel_rate_aggregate", ORACLE.get("median_rel_rate"))
+def q_median_rel_rate_aggregate(spark, sf_dir):
+    g = scalar_grid(spark, sf_dir)
+    return presentable(median_by(g, ["ncses_field_group", "gender", "year"], "rel_rate", "median_rel_rate", "aggregate"))
+
+
+ORACLE["median_rel_rate_aggregate"] = ORACLE["median_rel_rate"].replace(
+    "(min(rel_rate) + max(rel_rate)) / 2e0 AS median_rel_rate", "round((min(rel_rate) + max(rel_rate)) / 2e0, 9) + 0e0 AS median_rel_rate")
