@@ -99,7 +99,7 @@ class CompletionsEngine(QueryEngine):
         spark: SparkSession,
         fact: DataFrame,
         institutions: DataFrame | None = None,
-        median_strategy: str = "distributed",
+        median_strategy: str = "auto",
         check_values: bool = True,
     ):
         tables = {COMPLETIONS_TABLE: fact, CIP_TABLE: cip_table(fact)}

@@ -124,7 +124,7 @@ CANNED: dict[str, dict] = {
 }
 
 
-def run_canned(spark: SparkSession, sf_dir: str, spec: dict, median_strategy: str = "distributed") -> DataFrame:
+def run_canned(spark: SparkSession, sf_dir: str, spec: dict, median_strategy: str = "auto") -> DataFrame:
     eng = engine_for(spark, sf_dir, median_strategy=median_strategy)
     qf = QueryFilters(strict=False, **spec["filters"])
     common = dict(

@@ -48,6 +48,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}-{uuid.uuid4().hex}"
 
 
+def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Write ``df`` as Parquet under the shared checkpoint folder and read it
+    back: cuts the lineage, so a result used by several branches is computed
+    once and survives executor loss."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.parquet(path)
+
+
 def vintage_from_path(df: DataFrame, out: str = "year", pattern: str = r"/(\d{4})/") -> DataFrame:
     """Add an integer column parsed from each row's source file path; rows
     whose path does not match raise an error (no silent NULL year)."""
