@@ -25,7 +25,7 @@ from equiscope.session import build_session  # noqa: E402
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
-REPS = int(os.environ.get("BENCH_REPS", "3"))
+REPS = int(os.environ.get("BENCH_REPS", "5"))
 
 
 def queries(spark):

@@ -16,12 +16,16 @@ Physical plan (one wide shuffle of the fact):
 1. ``base``: the filtered fact aggregated to (unit?, field?, group, year?)
    with map-side partial aggregation, so a hot key ships one partial row per
    map task instead of its raw rows.
-2. ``base`` is hash-partitioned once by the *total key* (unit, or year for
-   national queries).  Rows per partition key are bounded by the
-   vocabularies (fields x groups x years), never by the fact size.
+2. ``base`` is hash-partitioned once by the *total key* (unit and/or year).
+   Rows per total key are bounded by the vocabularies (fields x groups),
+   never by the fact size, so even a unit holding a third of all awards
+   yields a bounded partition slice.
 3. Field totals and group totals are further aggregations keyed by supersets
-   of the partition key, and their join is on the total key -- all narrow.
-4. The grid is produced by exploding the (vocabulary-bounded) list of groups
+   of the total key, and their join is on exactly the total key -- all
+   narrow (no exchange; Spark co-partitions joins only on all join keys).
+4. Optional entity names are joined to the group list -- one row per total
+   key, the smallest table in the plan -- not to the exploded result.
+5. The grid is produced by exploding the (vocabulary-bounded) list of groups
    seen in each total key onto each field row; the field x group count is a
    map lookup, so no join with the finest subtotal is needed.
 
@@ -51,6 +55,8 @@ def subtotal_grid(
     taxonomy_filter: Column | None = None,
     taxonomy_on_field: bool = False,
     measure: str = "n_awards",
+    names: DataFrame | None = None,
+    name_col: str = "institution_name",
 ) -> DataFrame:
     """Dense zero-filled grid with the four subtotal columns.
 
@@ -92,9 +98,8 @@ def subtotal_grid(
         )
 
     # 2. co-locate everything that shares a total key
-    part_key = unit_k or year_k
-    if part_key:
-        base = base.repartition(*part_key)
+    if total_keys:
+        base = base.repartition(*total_keys)
 
     # 3a. field totals, carrying the per-group counts as a small map
     ft = (
@@ -115,6 +120,10 @@ def subtotal_grid(
         F.collect_list(F.struct(*gcols, gt_name)).alias("_groups"),
         F.coalesce(F.sum(gt_name), F.lit(0)).cast("long").alias(t_name),
     )
+    name_out = []
+    if per_unit and names is not None:
+        gl = gl.join(names.select(UNIT, name_col), UNIT, "left")
+        name_out = [F.col(name_col)]
     if total_keys:
         grid = ft.join(gl, total_keys, "inner")
     else:
@@ -126,10 +135,11 @@ def subtotal_grid(
 
     # 4. explode groups onto field rows; zero-fill from the map
     grid = grid.select(
-        *field_keys, ft_name, "_fgmap", t_name, F.explode("_groups").alias("_grp")
+        *name_out, *field_keys, ft_name, "_fgmap", t_name, F.explode("_groups").alias("_grp")
     )
     key_struct = F.struct(*[F.col("_grp")[c].alias(c) for c in gcols])
     return grid.select(
+        *name_out,
         *unit_k,
         *field_k,
         *[F.col("_grp")[c].alias(c) for c in gcols],

@@ -126,6 +126,9 @@ class CompletionsEngine(QueryEngine):
         filter_unitids,
     ) -> DataFrame:
         filtered = apply_filters(self.fact, query_filters, filter_unitids)
+        names = None
+        if per_unit and self.institutions is not None:
+            names = self.institutions.select("unitid", "institution_name")
         out = subtotal_grid(
             filtered,
             grouping=grouping,
@@ -135,14 +138,10 @@ class CompletionsEngine(QueryEngine):
             by_year=by_year,
             taxonomy_filter=taxonomy_filter,
             taxonomy_on_field=taxonomy_on_field,
+            names=names,
         )
-        if per_unit:
-            if self.institutions is None:
-                out = out.withColumn("institution_name", F.lit(None).cast("string"))
-            else:
-                names = self.institutions.select("unitid", "institution_name")
-                out = out.join(names, "unitid", "left")
-            out = out.select("institution_name", *[c for c in out.columns if c != "institution_name"])
+        if per_unit and names is None:
+            out = out.select(F.lit(None).cast("string").alias("institution_name"), *out.columns)
         return out
 
     @staticmethod
