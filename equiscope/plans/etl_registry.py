@@ -366,20 +366,10 @@ FROM (SELECT 1984 + (CAST(year(o_orderdate) AS INTEGER) - 1995) * 7 + (l_linenum
 def read_years(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All survey years at once: clean -> translate -> crosswalk -> tidy ->
     classify -> STEM flag (the yearly reader without a per-year loop)."""
+    from equiscope.plans.pipeline import completions_from_wide
+
     wide = wide_from(B.sql_df(spark, sf_dir, RAW_YEAR_LONG_SQL, FACT4))
-    df = S.default_majornum(wide)
-    df = df.withColumns(
-        {
-            "awlevel": S.map_award_level(F.col("awlevel")),
-            "cipcode": S.normalise_code(F.col("cipcode"), F.col("year")),
-        }
-    )
-    df = S.filter_total_codes(df)
-    df = X.crosswalk_chain(df, hops(spark, sf_dir), "cipcode", "year", "cip2020", None)
-    tidy = S.filter_zero(S.unpivot_groups(df, IDS + ["cip2020"]))
-    tidy = X.classify_taxonomy(tidy, taxonomy(spark, sf_dir), "cipcode", "cip2020")
-    tidy = X.classify_stem(tidy, spark.sql(B.STEM_SQL), "cip2020")
-    return tidy
+    return completions_from_wide(wide, hops(spark, sf_dir), taxonomy(spark, sf_dir), spark.sql(B.STEM_SQL))
 
 
 def _award_sql(c: str) -> str:
@@ -773,3 +763,45 @@ def q_median_rel_rate_aggregate(spark, sf_dir):
 
 ORACLE["median_rel_rate_aggregate"] = ORACLE["median_rel_rate"].replace(
     "(min(rel_rate) + max(rel_rate)) / 2e0 AS median_rel_rate", "round((min(rel_rate) + max(rel_rate)) / 2e0, 9) + 0e0 AS median_rel_rate")
+
+
+def _read_year_sql() -> str:
+    wide = _wide_sql(RAW_YEAR_LONG_SQL)
+    ctes = wide + [
+        ("t1", f"SELECT unitid, {_norm_code_sql('cipcode', 'year')} AS cipcode, {_award_sql('awlevel')} AS awlevel, "
+               "majornum, year, race_ethnicity, gender, n_awards FROM tidy"),
+        ("t2", "SELECT * FROM t1 WHERE NOT coalesce(cipcode IN ('99.0000', '99'), FALSE)"),
+    ]
+    ctes += chain_sql_ctes("t2", None)
+    ctes += taxonomy_sql_ctes()
+    ctes.append(("stem", B.STEM_SQL))
+    cols = []
+    for out, src in [("cip_title", "title"), ("ncses_sci_group", "ncses_sci_group"), ("ncses_field_group", "ncses_field_group"),
+                     ("ncses_detailed_field_group", "ncses_detailed_field_group"), ("nsf_broad_field", "nsf_broad_field")]:
+        cols.append(f"coalesce(c.{src}, o.{src}, {O.q(UNK[out])}) AS {out}")
+    final = (
+        f"SELECT w.unitid, w.cipcode, w.awlevel, w.majornum, w.year, w.cip2020, w.race_ethnicity, w.gender, w.n_awards, "
+        f"{', '.join(cols)}, s.code IS NOT NULL AS dhs_stem "
+        "FROM walked w LEFT JOIN lookup o ON w.cipcode = o.code LEFT JOIN lookup c ON w.cip2020 = c.code "
+        "LEFT JOIN stem s ON w.cip2020 = s.code"
+    )
+    return O.with_cte(*ctes) + "\n" + final
+
+
+ORACLE["read_year"] = _read_year_sql()
+
+
+INST_PIPE_SQL = O.with_cte(("ev", B.EVENT_ATTRS_SQL)) + f"""
+, latest AS (SELECT unitid, {', '.join(f"arg_max({c}, {ORDER_SQL}) FILTER (WHERE {c} IS NOT NULL) AS {c}" for c in ATTRS)},
+  max(metadata_vintage) AS metadata_vintage FROM ev GROUP BY unitid)
+SELECT *, regexp_matches(institution_name, '{I.TECH_PATTERN}') AS tech_school,
+  regexp_matches(institution_name, '{I.HEALTH_PATTERN}') AS health_school FROM latest"""
+
+
+@reg("institutions_pipeline", INST_PIPE_SQL)
+def q_institutions_pipeline(spark, sf_dir):
+    """Vintages -> latest non-null attributes per institution -> flags."""
+    latest = I.latest_non_null(event_attrs(spark, sf_dir), "unitid", "metadata_vintage", "event_id", ATTRS)
+    return latest.withColumns(
+        {"tech_school": I.tech_school(F.col("institution_name")), "health_school": I.health_school(F.col("institution_name"))}
+    )

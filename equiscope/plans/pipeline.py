@@ -1,0 +1,52 @@
+"""The yearly completions reader as one DataFrame plan over all years.
+
+Raw files carry one text column per (race, gender) code; the pipeline
+normalises codes, maps award levels, drops the all-fields total lines, walks
+codes through the crosswalk chain, reshapes to tidy rows (dropping "0"
+cells, keeping NULL ones), classifies fields and flags STEM codes.  Year is a
+column, so every year is processed in the same job.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from equiscope.functions.strings import clean_name
+from equiscope.operators import crosswalk as X
+from equiscope.operators import reshape as S
+
+IDS = ["unitid", "cipcode", "awlevel", "majornum", "year"]
+
+
+def clean_headers(df: DataFrame) -> DataFrame:
+    """Raw headers -> snake names (schema-level rename, no data pass)."""
+    return df.withColumnsRenamed({c: clean_name(c) for c in df.columns if clean_name(c) != c})
+
+
+def completions_from_wide(
+    wide: DataFrame,
+    hops: Sequence[X.Hop],
+    lookup: DataFrame,
+    stem_codes: DataFrame,
+    code_set: dict | None = None,
+    extra_ids: Sequence[str] = (),
+) -> DataFrame:
+    """Wide yearly rows (unitid, cipcode, awlevel, [majornum], year, code
+    columns...) -> tidy classified award rows."""
+    df = S.default_majornum(wide)
+    df = df.withColumns(
+        {
+            "unitid": F.col("unitid").cast("long"),
+            "awlevel": S.map_award_level(F.col("awlevel")),
+            "cipcode": S.normalise_code(F.col("cipcode"), F.col("year")),
+        }
+    )
+    df = S.filter_total_codes(df)
+    df = X.crosswalk_chain(df, hops, "cipcode", "year", "cip2020", None)
+    ids = IDS + list(extra_ids) + ["cip2020"]
+    tidy = S.filter_zero(S.unpivot_groups(df.select(*ids, *[c for c in df.columns if c not in ids]), ids, code_set))
+    tidy = X.classify_taxonomy(tidy, lookup, "cipcode", "cip2020")
+    return X.classify_stem(tidy, stem_codes, "cip2020")
