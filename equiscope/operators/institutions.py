@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from equiscope.operators.lookup import broadcast_if_small
+from equiscope.session import ensure_checkpoint_dir
 
 TECH_PATTERN = "(?i)Polytech|techn|school of mines|Technology|Engineering"
 HEALTH_PATTERN = "(?i)Health Science|Medical Science"
@@ -44,13 +45,48 @@ def keep_latest(df: DataFrame, key: str, vintage: str, tie: str | None = None) -
 
 
 def forward_fill(
-    df: DataFrame, key: str, vintage: str, columns: Sequence[str], tie: str | None = None
+    df: DataFrame, key: str, vintage: str, columns: Sequence[str], tie: str | None = None,
+    strategy: str = "distributed",
 ) -> DataFrame:
     """Carry each column's last non-NULL value forward within ``key`` in
-    (vintage, tie) order."""
+    (vintage, tie) order.
+
+    ``"distributed"`` (default) never puts one key in one task: rows are
+    range-partitioned on (key, order) -- which cuts a hot key into several
+    partitions -- and checkpointed; each (key, partition) slice is filled
+    locally, and the value entering a slice is the last non-NULL value of the
+    key's earlier slices (a window over at most #partitions rows per key).
+    ``"window"`` is the plain per-key window."""
+    columns = list(columns)
     order = [vintage] + ([tie] if tie else [])
-    w = Window.partitionBy(key).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return df.withColumns({c: F.last(F.col(c), ignorenulls=True).over(w) for c in columns})
+    if strategy == "window":
+        w = Window.partitionBy(key).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        return df.withColumns({c: F.last(F.col(c), ignorenulls=True).over(w) for c in columns})
+    if strategy != "distributed":
+        raise ValueError(f"unknown forward fill strategy {strategy!r}")
+
+    ensure_checkpoint_dir(df.sparkSession)
+    s = (
+        df.repartitionByRange(key, *order)
+        .sortWithinPartitions(key, *order)
+        .withColumn("__pid", F.spark_partition_id())
+        .checkpoint(eager=True)
+    )
+    slice_w = (
+        Window.partitionBy(key, "__pid").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    filled = s.withColumns({c: F.last(F.col(c), ignorenulls=True).over(slice_w) for c in columns})
+    o = F.struct(*[F.col(x) for x in order])
+    ends = s.groupBy(key, "__pid").agg(
+        *[F.max_by(F.col(c), F.when(F.col(c).isNotNull(), o)).alias(f"__last_{c}") for c in columns]
+    )
+    earlier = Window.partitionBy(key).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
+    carry = ends.select(
+        key, "__pid", *[F.last(F.col(f"__last_{c}"), ignorenulls=True).over(earlier).alias(f"__in_{c}") for c in columns]
+    )
+    out = filled.join(carry, [key, "__pid"], "left")
+    out = out.withColumns({c: F.coalesce(F.col(c), F.col(f"__in_{c}")) for c in columns})
+    return out.select(*df.columns)
 
 
 def latest_column_names(

@@ -111,3 +111,18 @@ def test_fact_sink_refuses_overwrite(spark, fixture_fact):
         FS.write_fact(fixture_fact, path)
     FS.write_fact(fixture_fact, path, overwrite=True)
     assert FS.read_fact(spark, path).filter("year = 1984").count() == 36
+
+
+def test_forward_fill_distributed_matches_window_on_skew(spark):
+    import random
+
+    rnd = random.Random(3)
+    rows = []
+    for i in range(20000):
+        k = 0 if i % 3 else rnd.randint(1, 40)  # key 0 holds two thirds of the rows
+        rows.append((k, i, rnd.choice([None, None, None, f"v{i}"]), rnd.choice([None, float(i)])))
+    df = spark.createDataFrame(rows, "k long, t long, a string, b double").repartition(7)
+    got = I.forward_fill(df, "k", "t", ["a", "b"])
+    ref = I.forward_fill(df, "k", "t", ["a", "b"], strategy="window")
+    assert got.columns == df.columns
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, ref.collect()), key=str)
