@@ -35,7 +35,7 @@ is attached as a scalar subquery.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from equiscope.vocab import Grouping
@@ -101,32 +101,50 @@ def subtotal_grid(
     if total_keys:
         base = base.repartition(*total_keys)
 
-    # 3a. field totals, carrying the per-group counts as a small map
-    ft = (
-        base.filter(F.col("_seen"))
-        .groupBy(*field_keys)
-        .agg(
-            F.coalesce(F.sum("_fg"), F.lit(0)).cast("long").alias(ft_name),
-            F.map_from_entries(
-                F.collect_list(F.struct(F.struct(*gcols).alias("k"), F.col("_fg").alias("v")))
-            ).alias("_fgmap"),
-        )
-    )
-    # 3b. group totals -> one row per total key with its list of groups
-    gt = base.groupBy(*total_keys, *gcols).agg(
-        F.coalesce(F.sum("_g"), F.lit(0)).cast("long").alias(gt_name)
-    )
-    gl = gt.groupBy(*total_keys).agg(
-        F.collect_list(F.struct(*gcols, gt_name)).alias("_groups"),
-        F.coalesce(F.sum(gt_name), F.lit(0)).cast("long").alias(t_name),
-    )
+    fg_entry = F.struct(F.struct(*gcols).alias("k"), F.col("_fg").alias("v"))
     name_out = []
-    if per_unit and names is not None:
-        gl = gl.join(names.select(UNIT, name_col), UNIT, "left")
-        name_out = [F.col(name_col)]
     if total_keys:
-        grid = ft.join(gl, total_keys, "inner")
+        # 3. one branch over the co-located rows: group totals and the list
+        # of groups per total key are window aggregates (partition keys are
+        # supersets of the partitioning: no exchange, one local sort), field
+        # totals a hash aggregate -- no join, no second shuffle
+        by_group = Window.partitionBy(*total_keys, *gcols)
+        by_total = Window.partitionBy(*total_keys)
+        w = base.withColumn(gt_name, F.coalesce(F.sum("_g").over(by_group), F.lit(0)).cast("long"))
+        w = w.withColumns(
+            {
+                "_groups": F.collect_set(F.struct(*gcols, gt_name)).over(by_total),
+                t_name: F.coalesce(F.sum("_g").over(by_total), F.lit(0)).cast("long"),
+            }
+        )
+        grid = (
+            w.filter(F.col("_seen"))
+            .groupBy(*field_keys)
+            .agg(
+                F.coalesce(F.sum("_fg"), F.lit(0)).cast("long").alias(ft_name),
+                F.map_from_entries(F.collect_list(fg_entry)).alias("_fgmap"),
+                F.any_value("_groups").alias("_groups"),
+                F.any_value(t_name).alias(t_name),
+            )
+        )
+        if per_unit and names is not None:
+            grid = grid.join(names.select(UNIT, name_col), UNIT, "left")
+            name_out = [F.col(name_col)]
     else:
+        # national, all years: field rows + one group list (scalar subquery)
+        ft = (
+            base.filter(F.col("_seen"))
+            .groupBy(*field_keys)
+            .agg(
+                F.coalesce(F.sum("_fg"), F.lit(0)).cast("long").alias(ft_name),
+                F.map_from_entries(F.collect_list(fg_entry)).alias("_fgmap"),
+            )
+        )
+        gt = base.groupBy(*gcols).agg(F.coalesce(F.sum("_g"), F.lit(0)).cast("long").alias(gt_name))
+        gl = gt.agg(
+            F.collect_list(F.struct(*gcols, gt_name)).alias("_groups"),
+            F.coalesce(F.sum(gt_name), F.lit(0)).cast("long").alias(t_name),
+        )
         one = gl.select(F.struct("_groups", t_name).alias("_s")).scalar()
         grid = ft.withColumn("_s", one).select(
             *field_keys, ft_name, "_fgmap", F.col("_s._groups").alias("_groups"),
