@@ -11,7 +11,7 @@ and one row for every field seen within a (unit?, year?) paired with every
 group seen within the same (unit?, year?) -- zero-filled where the fact has
 no row ("valid combinations").
 
-Physical plan (one wide shuffle of the fact):
+Physical plan (exactly two shuffles, one of them over fact-sized data):
 
 1. ``base``: the filtered fact aggregated to (unit?, field?, group, year?)
    with map-side partial aggregation, so a hot key ships one partial row per
@@ -20,14 +20,14 @@ Physical plan (one wide shuffle of the fact):
    Rows per total key are bounded by the vocabularies (fields x groups),
    never by the fact size, so even a unit holding a third of all awards
    yields a bounded partition slice.
-3. Field totals and group totals are further aggregations keyed by supersets
-   of the total key, and their join is on exactly the total key -- all
-   narrow (no exchange; Spark co-partitions joins only on all join keys).
-4. Optional entity names are joined to the group list -- one row per total
-   key, the smallest table in the plan -- not to the exploded result.
+3. Over the co-located rows: group totals, the total and the list of groups
+   seen per total key are window aggregates (partition keys are supersets of
+   the partitioning: no exchange, one local sort); field totals are a hash
+   aggregate on top, carrying the per-group counts as a small map.  No join.
+4. Optional entity names are joined to the field-total rows, before the
+   explode.
 5. The grid is produced by exploding the (vocabulary-bounded) list of groups
-   seen in each total key onto each field row; the field x group count is a
-   map lookup, so no join with the finest subtotal is needed.
+   onto each field row; the field x group count is a map lookup, zero-filled.
 
 With no total key at all (national, all years) the group list is one row and
 is attached as a scalar subquery.
