@@ -29,8 +29,8 @@ Physical plan (exactly two shuffles, one of them over fact-sized data):
 5. The grid is produced by exploding the (vocabulary-bounded) list of groups
    onto each field row; the field x group count is a map lookup, zero-filled.
 
-With no total key at all (national, all years) the group list is one row and
-is attached as a scalar subquery.
+With no total key at all (national, all years) the windows span the
+aggregated rows, of which there are at most fields x groups.
 """
 
 from __future__ import annotations
@@ -102,54 +102,37 @@ def subtotal_grid(
         base = base.repartition(*total_keys)
 
     fg_entry = F.struct(F.struct(*gcols).alias("k"), F.col("_fg").alias("v"))
+    # 3. one branch over the co-located rows: group totals and the list of
+    # groups per total key are window aggregates (partition keys are supersets
+    # of the partitioning: no exchange, one local sort), field totals a hash
+    # aggregate -- no join, no second pass over the fact.  Without a total key
+    # the window spans the aggregated rows, which number at most
+    # fields x groups.
+    by_group = Window.partitionBy(*total_keys, *gcols)
+    by_total = Window.partitionBy(*total_keys)
+    w = base.withColumn(gt_name, F.coalesce(F.sum("_g").over(by_group), F.lit(0)).cast("long"))
+    w = w.withColumns(
+        {
+            "_groups": F.collect_set(F.struct(*gcols, gt_name)).over(by_total),
+            t_name: F.coalesce(F.sum("_g").over(by_total), F.lit(0)).cast("long"),
+        }
+    )
+    seen = F.col("_seen")
+    grid = w.groupBy(*field_keys).agg(
+        F.coalesce(F.sum(F.when(seen, F.col("_fg"))), F.lit(0)).cast("long").alias(ft_name),
+        F.map_from_entries(F.collect_list(F.when(seen, fg_entry))).alias("_fgmap"),
+        F.any_value("_groups").alias("_groups"),
+        F.any_value(t_name).alias(t_name),
+        F.bool_or(seen).alias("_any"),
+    )
+    if field_keys:
+        # field rows exist only where some award passed the taxonomy filter;
+        # the ungrouped field total (no keys) is always one row
+        grid = grid.filter(F.col("_any"))
     name_out = []
-    if total_keys:
-        # 3. one branch over the co-located rows: group totals and the list
-        # of groups per total key are window aggregates (partition keys are
-        # supersets of the partitioning: no exchange, one local sort), field
-        # totals a hash aggregate -- no join, no second shuffle
-        by_group = Window.partitionBy(*total_keys, *gcols)
-        by_total = Window.partitionBy(*total_keys)
-        w = base.withColumn(gt_name, F.coalesce(F.sum("_g").over(by_group), F.lit(0)).cast("long"))
-        w = w.withColumns(
-            {
-                "_groups": F.collect_set(F.struct(*gcols, gt_name)).over(by_total),
-                t_name: F.coalesce(F.sum("_g").over(by_total), F.lit(0)).cast("long"),
-            }
-        )
-        grid = (
-            w.filter(F.col("_seen"))
-            .groupBy(*field_keys)
-            .agg(
-                F.coalesce(F.sum("_fg"), F.lit(0)).cast("long").alias(ft_name),
-                F.map_from_entries(F.collect_list(fg_entry)).alias("_fgmap"),
-                F.any_value("_groups").alias("_groups"),
-                F.any_value(t_name).alias(t_name),
-            )
-        )
-        if per_unit and names is not None:
-            grid = grid.join(names.select(UNIT, name_col), UNIT, "left")
-            name_out = [F.col(name_col)]
-    else:
-        # national, all years: field rows + one group list (scalar subquery)
-        ft = (
-            base.filter(F.col("_seen"))
-            .groupBy(*field_keys)
-            .agg(
-                F.coalesce(F.sum("_fg"), F.lit(0)).cast("long").alias(ft_name),
-                F.map_from_entries(F.collect_list(fg_entry)).alias("_fgmap"),
-            )
-        )
-        gt = base.groupBy(*gcols).agg(F.coalesce(F.sum("_g"), F.lit(0)).cast("long").alias(gt_name))
-        gl = gt.agg(
-            F.collect_list(F.struct(*gcols, gt_name)).alias("_groups"),
-            F.coalesce(F.sum(gt_name), F.lit(0)).cast("long").alias(t_name),
-        )
-        one = gl.select(F.struct("_groups", t_name).alias("_s")).scalar()
-        grid = ft.withColumn("_s", one).select(
-            *field_keys, ft_name, "_fgmap", F.col("_s._groups").alias("_groups"),
-            F.col(f"_s.{t_name}").alias(t_name),
-        )
+    if per_unit and names is not None:
+        grid = grid.join(names.select(UNIT, name_col), UNIT, "left")
+        name_out = [F.col(name_col)]
 
     # 4. explode groups onto field rows; zero-fill from the map
     grid = grid.select(
