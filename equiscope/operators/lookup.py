@@ -31,14 +31,3 @@ def last_wins(
     return df.groupBy(F.col(key).alias(out_key or key)).agg(
         *[F.max_by(F.col(v), o).alias(v) for v in values]
     )
-
-
-def map_codes(
-    df: DataFrame, col: str, mapping: DataFrame, key: str, value: str, out: str, default: Column | None = None
-) -> DataFrame:
-    """Dictionary mapping ``out = mapping[col]`` (left join; unmapped -> NULL
-    or ``default``)."""
-    m = mapping.select(F.col(key).alias("__k"), F.col(value).alias("__v"))
-    j = df.join(broadcast_if_small(m), df[col] == F.col("__k"), "left")
-    v = F.col("__v") if default is None else F.coalesce(F.col("__v"), default)
-    return j.withColumn(out, v).drop("__k", "__v")

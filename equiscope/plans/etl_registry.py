@@ -17,7 +17,7 @@ from equiscope.operators.median import median_by
 from equiscope.plans import bindings as B
 from equiscope.plans import oracle as O
 from equiscope.plans.engine import CIP_COLUMNS, cip_table, order_by_keys
-from equiscope.plans.registry import CANNED, engine_for, presentable, run_canned
+from equiscope.plans.registry import CANNED, engine_for, presentable
 from equiscope.sources import files as FS
 from equiscope.sources.tables import FACT_SQL, INSTITUTIONS_SQL, completions_fact, institutions_dim, read_table
 from equiscope.vocab import NSF_BROAD_FIELD_MAP, NCSESDetailedFieldGroup, NCSESFieldGroup, NCSESSciGroup, NSFBroadField

@@ -1,7 +1,6 @@
 """Crosswalk and classification goldens with minimal hand-built lookups."""
 
 import pytest
-from pyspark.sql import functions as F
 
 from equiscope.operators import crosswalk as X
 from equiscope.vocab import NCSESSciGroup, NSFBroadField
