@@ -419,13 +419,17 @@ def q_filter_zero(spark, sf_dir):
     return t.agg(F.count(F.lit(1)).alias("n_rows"), F.count("n_awards").alias("n_non_null"))
 
 
-@reg("project_known_columns", O.with_cte(*_wide_sql(B.wide_long_sql())) + """
-SELECT count(*) AS n_rows FROM ids""")
+def _pivot_sql() -> str:
+    cells = ", ".join(f"max(CASE WHEN code = {O.q(c)} THEN v END) AS {c}" for c in POST)
+    return (O.with_cte(*_wide_sql(B.wide_long_sql())[:2]) +
+            f"\nSELECT unitid, cipcode, awlevel, majornum, {cells} FROM sums GROUP BY unitid, cipcode, awlevel, majornum, year")
+
+
+@reg("project_known_columns", _pivot_sql())
 def q_project_known_columns(spark, sf_dir):
-    wide = wide_from(B.sql_df(spark, sf_dir, B.wide_long_sql(), FACT4)).withColumn("extra_total", F.lit("1"))
-    kept = S.default_majornum(S.project_known_columns(wide.drop("year").withColumnRenamed("majornum", "majornum")))
-    assert "extra_total" not in kept.columns
-    return kept.agg(F.count(F.lit(1)).alias("n_rows"))
+    """Index and known code columns survive; others (year, extra totals) go."""
+    wide = wide_from(B.sql_df(spark, sf_dir, B.wide_long_sql(), FACT4)).withColumn("ctotalt", F.lit("1"))
+    return S.project_known_columns(wide)
 
 
 # ---------------------------------------------------------------------------
