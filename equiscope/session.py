@@ -15,6 +15,8 @@ DEFAULT_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # remove reliable-checkpoint files once their RDDs are garbage collected
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     # The p-value expressions are long arithmetic chains; HotSpot refuses to
     # JIT methods over 8 kB of bytecode unless told otherwise.  Recommended
     # for executors on a cluster as well.
