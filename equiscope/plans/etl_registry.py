@@ -366,7 +366,7 @@ FROM (SELECT 1984 + (CAST(year(o_orderdate) AS INTEGER) - 1995) * 7 + (l_linenum
 def read_years(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All survey years at once: clean -> translate -> crosswalk -> tidy ->
     classify -> STEM flag (the yearly reader without a per-year loop)."""
-    from equiscope.plans.pipeline import completions_from_wide
+    from equiscope.plans.yearly import completions_from_wide
 
     wide = wide_from(B.sql_df(spark, sf_dir, RAW_YEAR_LONG_SQL, FACT4))
     return completions_from_wide(wide, hops(spark, sf_dir), taxonomy(spark, sf_dir), spark.sql(B.STEM_SQL))
@@ -795,15 +795,15 @@ def _read_year_sql() -> str:
 ORACLE["read_year"] = _read_year_sql()
 
 
-INST_PIPE_SQL = O.with_cte(("ev", B.EVENT_ATTRS_SQL)) + f"""
+INST_MERGE_SQL = O.with_cte(("ev", B.EVENT_ATTRS_SQL)) + f"""
 , latest AS (SELECT unitid, {', '.join(f"arg_max({c}, {ORDER_SQL}) FILTER (WHERE {c} IS NOT NULL) AS {c}" for c in ATTRS)},
   max(metadata_vintage) AS metadata_vintage FROM ev GROUP BY unitid)
 SELECT *, regexp_matches(institution_name, '{I.TECH_PATTERN}') AS tech_school,
   regexp_matches(institution_name, '{I.HEALTH_PATTERN}') AS health_school FROM latest"""
 
 
-@reg("institutions_pipeline", INST_PIPE_SQL)
-def q_institutions_pipeline(spark, sf_dir):
+@reg("institutions_merge", INST_MERGE_SQL)
+def q_institutions_merge(spark, sf_dir):
     """Vintages -> latest non-null attributes per institution -> flags."""
     latest = I.latest_non_null(event_attrs(spark, sf_dir), "unitid", "metadata_vintage", "event_id", ATTRS)
     return latest.withColumns(

@@ -1,6 +1,6 @@
 """The yearly completions reader as one DataFrame plan over all years.
 
-Raw files carry one text column per (race, gender) code; the pipeline
+Raw files carry one text column per (race, gender) code; the reader
 normalises codes, maps award levels, drops the all-fields total lines, walks
 codes through the crosswalk chain, reshapes to tidy rows (dropping "0"
 cells, keeping NULL ones), classifies fields and flags STEM codes.  Year is a
