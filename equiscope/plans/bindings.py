@@ -1,6 +1,8 @@
 """Inputs for the ETL operators, derived by rule from the driver tables.
 
-Each text below is valid in both Spark SQL and DuckDB, so the Spark side and
+Each text below is valid in both Spark SQL and DuckDB (tables appear as
+``{name}`` placeholders: bound to DataFrames on Spark, replaced by the view
+names for DuckDB), so the Spark side and
 the oracle start from identical inputs; the *operators* are then run through
 the library on Spark and re-stated independently in the oracle SQL.
 """
@@ -9,7 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from equiscope.sources.tables import FACT_SQL, read_table
+from equiscope.sources.tables import FACT_SQL, TABLES, read_table
 
 
 def code_expr(bnum: str, size: str) -> str:
@@ -20,7 +22,7 @@ def code_expr(bnum: str, size: str) -> str:
 CODES_SQL = f"""SELECT p_partkey, p_name, p_type, p_size,
   CAST(replace(p_brand, 'Brand#', '') AS INTEGER) AS bnum,
   {code_expr("CAST(replace(p_brand, 'Brand#', '') AS INTEGER)", "p_size")} AS code
-FROM part"""
+FROM {{part}}"""
 
 
 def raw_modern_sql(k: int) -> str:
@@ -69,7 +71,7 @@ XFACT_SQL = f"""SELECT 1984 + (CAST(year(o_orderdate) AS INTEGER) - 1995) * 7 +
   l_orderkey, l_linenumber, l_suppkey AS unitid,
   {code_expr("CAST(replace(p_brand, 'Brand#', '') AS INTEGER)", "p_size")} AS cipcode,
   CAST(l_quantity AS BIGINT) AS n_awards
-FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey"""
+FROM {{lineitem}} JOIN {{orders}} ON l_orderkey = o_orderkey JOIN {{part}} ON l_partkey = p_partkey"""
 
 # institution attributes over time, NULL where an event does not report them
 EVENT_ATTRS_SQL = """SELECT user_id AS unitid, ts AS metadata_vintage, event_id,
@@ -77,15 +79,15 @@ EVENT_ATTRS_SQL = """SELECT user_id AS unitid, ts AS metadata_vintage, event_id,
        WHEN event_type = 'purchase' THEN 'Health Science Center ' || CAST(event_id AS STRING) END AS institution_name,
   CASE WHEN event_type IN ('click', 'view') THEN props END AS city,
   CASE WHEN event_type = 'error' THEN value END AS score
-FROM events"""
+FROM {events}"""
 
 DICTIONARY_SQL = """SELECT 's_nationkey' AS varname, CAST(r_regionkey AS STRING) AS codevalue,
-  r_name AS valuelabel FROM region"""
+  r_name AS valuelabel FROM {region}"""
 
 REGION_LABEL_SQL = """SELECT n_nationkey,
   CASE WHEN n_nationkey % 5 = 0 THEN 'Other US jurisdictions (AS, FM, GU, MH, MP, PR, PW, VI)'
        ELSE r_name || ',  (' || n_name || ').' END AS label
-FROM nation JOIN region ON n_regionkey = r_regionkey"""
+FROM {nation} JOIN {region} ON n_regionkey = r_regionkey"""
 
 # segment / status -> measure-column code of the post-2010 layout
 SEGMENT_CODE = {
@@ -107,11 +109,15 @@ def wide_long_sql() -> str:
 FROM ({FACT_SQL}) f"""
 
 
-def register(spark: SparkSession, sf_dir: str, names: list[str]) -> None:
-    for n in names:
-        read_table(spark, sf_dir, n).createOrReplaceTempView(n)
+def plain(text: str) -> str:
+    """Placeholder text -> SQL over tables registered under their own names
+    (the oracle's views)."""
+    for t in TABLES:
+        text = text.replace("{" + t + "}", t)
+    return text
 
 
 def sql_df(spark: SparkSession, sf_dir: str, text: str, tables: list[str]) -> DataFrame:
-    register(spark, sf_dir, tables)
-    return spark.sql(text)
+    """Run a placeholder text on Spark, binding each ``{table}`` to a
+    DataFrame (no temporary views are registered in the session)."""
+    return spark.sql(text, **{t: read_table(spark, sf_dir, t) for t in tables})

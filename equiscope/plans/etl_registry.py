@@ -44,11 +44,11 @@ XTABLES = ["lineitem", "orders", "part"]
 
 
 def hops(spark: SparkSession, sf_dir: str) -> list[X.Hop]:
-    B.register(spark, sf_dir, PART)
-    m0 = spark.sql(B.raw_modern_sql(0))
-    m1 = spark.sql(B.raw_modern_sql(1))
-    l2 = spark.sql(B.raw_legacy_sql(2))
-    l3, l4 = spark.sql(B.raw_legacy_sql(3)), spark.sql(B.raw_legacy_sql(4))
+    def q(text):
+        return B.sql_df(spark, sf_dir, text, PART)
+
+    m0, m1 = q(B.raw_modern_sql(0)), q(B.raw_modern_sql(1))
+    l2, l3, l4 = q(B.raw_legacy_sql(2)), q(B.raw_legacy_sql(3)), q(B.raw_legacy_sql(4))
     return [
         X.load_moved_crosswalk(m0, "origin", "dest", "title", "action", "pos", 2010, 2019),
         X.load_moved_crosswalk(m1, "origin", "dest", "title", "action", "pos", 2000, 2009),
@@ -123,7 +123,7 @@ SELECT d.code, coalesce(m.dest_code, d.code) AS new_code, t.title AS new_title
 FROM d LEFT JOIN h4_codes m ON d.code = m.origin_code LEFT JOIN h4_titles t ON coalesce(m.dest_code, d.code) = t.code""")
 def q_crosswalk_hop(spark, sf_dir):
     h = hops(spark, sf_dir)[0]
-    codes = spark.sql(B.CODES_SQL).select("code").distinct().withColumn("new_code", F.col("code"))
+    codes = B.sql_df(spark, sf_dir, B.CODES_SQL, PART).select("code").distinct().withColumn("new_code", F.col("code"))
     out = X.crosswalk_hop(codes, h, "new_code", None)
     return out.select("code", "new_code", F.col("new_code_title").alias("new_title"))
 
@@ -248,7 +248,7 @@ SELECT x.year, x.l_orderkey, x.l_linenumber, x.cipcode, s.code IS NOT NULL AS dh
 FROM xfact x LEFT JOIN stem s ON x.cipcode = s.code""")
 def q_classify_stem(spark, sf_dir):
     xf = B.sql_df(spark, sf_dir, B.XFACT_SQL, XTABLES)
-    stem = spark.sql(B.STEM_SQL)
+    stem = B.sql_df(spark, sf_dir, B.STEM_SQL, PART)
     return X.classify_stem(xf, stem, "cipcode").select("year", "l_orderkey", "l_linenumber", "cipcode", "dhs_stem")
 
 
@@ -359,8 +359,8 @@ FROM (SELECT 1984 + (CAST(year(o_orderdate) AS INTEGER) - 1995) * 7 + (l_linenum
   (CASE c_mktsegment {" ".join(f"WHEN '{k}' THEN '{v}'" for k, v in B.SEGMENT_CODE.items())} END)
     || (CASE WHEN l_linestatus = 'F' THEN 'w' ELSE 'm' END) AS code,
   CAST(l_quantity AS BIGINT) AS n_awards
-  FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey
-  JOIN customer ON o_custkey = c_custkey) r"""
+  FROM {{lineitem}} JOIN {{orders}} ON l_orderkey = o_orderkey JOIN {{part}} ON l_partkey = p_partkey
+  JOIN {{customer}} ON o_custkey = c_custkey) r"""
 
 
 def read_years(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -369,7 +369,7 @@ def read_years(spark: SparkSession, sf_dir: str) -> DataFrame:
     from equiscope.plans.yearly import completions_from_wide
 
     wide = wide_from(B.sql_df(spark, sf_dir, RAW_YEAR_LONG_SQL, FACT4))
-    return completions_from_wide(wide, hops(spark, sf_dir), taxonomy(spark, sf_dir), spark.sql(B.STEM_SQL))
+    return completions_from_wide(wide, hops(spark, sf_dir), taxonomy(spark, sf_dir), B.sql_df(spark, sf_dir, B.STEM_SQL, PART))
 
 
 def _award_sql(c: str) -> str:

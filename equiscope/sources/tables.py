@@ -113,7 +113,8 @@ def institutions_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-# SQL text of the same binding (DuckDB dialect) for the correctness oracle.
+# SQL text of the same binding for the correctness oracle; tables are
+# ``{name}`` placeholders (see equiscope.plans.bindings.plain).
 FACT_SQL = """
 SELECT CAST(year(o_orderdate) AS INTEGER) AS year, l_suppkey AS unitid,
   lpad(replace(p_brand,'Brand#',''),2,'0')||'.'||lpad(CAST(p_size AS STRING),4,'0') AS cipcode,
@@ -133,8 +134,8 @@ SELECT CAST(year(o_orderdate) AS INTEGER) AS year, l_suppkey AS unitid,
        WHEN 2 THEN 'Physical and earth sciences' WHEN 3 THEN 'Social and behavioral sciences'
        ELSE 'Non-science and engineering' END AS nsf_broad_field,
   (CAST(replace(p_brand,'Brand#','') AS INTEGER)%7 < 3 AND p_size<=25) AS dhs_stem
-FROM lineitem JOIN orders ON l_orderkey=o_orderkey
-  JOIN part ON l_partkey=p_partkey JOIN customer ON o_custkey=c_custkey
+FROM {lineitem} JOIN {orders} ON l_orderkey=o_orderkey
+  JOIN {part} ON l_partkey=p_partkey JOIN {customer} ON o_custkey=c_custkey
 """
 
-INSTITUTIONS_SQL = "SELECT s_suppkey AS unitid, s_name AS institution_name FROM supplier"
+INSTITUTIONS_SQL = "SELECT s_suppkey AS unitid, s_name AS institution_name FROM {supplier}"
