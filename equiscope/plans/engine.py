@@ -92,7 +92,17 @@ class QueryEngine:
 
 
 class CompletionsEngine(QueryEngine):
-    """The four representation queries over a completions fact."""
+    """The four representation queries over a completions fact.
+
+    ``CompletionsEngine.from_database(spark, root)`` opens the tables written
+    by :func:`equiscope.sources.files.write_database`."""
+
+    @classmethod
+    def from_database(cls, spark: SparkSession, root: str, **kw) -> "CompletionsEngine":
+        from equiscope.sources.files import read_database
+
+        t = read_database(spark, root)
+        return cls(spark, t["completions"], t["institutions"], cip_info=t["cip_info"], **kw)
 
     def __init__(
         self,
@@ -101,8 +111,9 @@ class CompletionsEngine(QueryEngine):
         institutions: DataFrame | None = None,
         median_strategy: str = "auto",
         check_values: bool = True,
+        cip_info: DataFrame | None = None,
     ):
-        tables = {COMPLETIONS_TABLE: fact, CIP_TABLE: cip_table(fact)}
+        tables = {COMPLETIONS_TABLE: fact, CIP_TABLE: cip_info if cip_info is not None else cip_table(fact)}
         if institutions is not None:
             tables[INSTITUTIONS_TABLE] = institutions
         super().__init__(spark, tables)

@@ -576,11 +576,14 @@ def q_sink_interim(spark, sf_dir):
     return back.select(*[c for c in completions_fact(spark, sf_dir).columns])
 
 
-@reg("sink_database", FACT_SQL)
+@reg("sink_database", f"SELECT * EXCLUDE (cip_title) FROM ({FACT_SQL}) f")
 def q_sink_database(spark, sf_dir):
-    path = FS.scratch_path(spark, "fact-db")
-    FS.write_fact(completions_fact(spark, sf_dir), path)
-    return FS.read_fact(spark, path).select(*completions_fact(spark, sf_dir).columns)
+    """Write the three tables (fact without titles, code dimension,
+    institutions) and read the fact back."""
+    root = FS.scratch_path(spark, "database")
+    fact = completions_fact(spark, sf_dir)
+    FS.write_database(fact, institutions_dim(spark, sf_dir), root)
+    return FS.read_database(spark, root)["completions"].select(*[c for c in fact.columns if c != "cip_title"])
 
 
 # ---------------------------------------------------------------------------

@@ -132,3 +132,33 @@ def write_fact(df: DataFrame, path: str, overwrite: bool = False) -> None:
 
 def read_fact(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
+
+
+def read_lookup_csv(spark: SparkSession, path: str) -> DataFrame:
+    """Lookup / dictionary tables shipped as CSV: all text, header names
+    lower-cased (e.g. ``varname, codevalue, valuelabel``)."""
+    df = spark.read.option("header", True).csv(path)
+    return df.withColumnsRenamed({c: c.lower() for c in df.columns if c.lower() != c})
+
+
+def write_database(fact: DataFrame, institutions: DataFrame, root: str, overwrite: bool = False) -> dict[str, str]:
+    """Persist the three tables of the data model under ``root``:
+
+    * ``cip_info``: distinct code dimension taken from the fact;
+    * ``completions``: the fact without ``cip_title`` (kept in cip_info),
+      partitioned by year;
+    * ``institutions``: the institution dimension.
+
+    Refuses to replace existing tables unless ``overwrite``."""
+    from equiscope.plans.engine import cip_table
+
+    mode = "overwrite" if overwrite else "errorifexists"
+    paths = {name: f"{root.rstrip('/')}/{name}" for name in ("completions", "cip_info", "institutions")}
+    cip_table(fact).write.mode(mode).parquet(paths["cip_info"])
+    write_fact(fact.drop("cip_title"), paths["completions"], overwrite=overwrite)
+    institutions.write.mode(mode).parquet(paths["institutions"])
+    return paths
+
+
+def read_database(spark: SparkSession, root: str) -> dict[str, DataFrame]:
+    return {name: spark.read.parquet(f"{root.rstrip('/')}/{name}") for name in ("completions", "cip_info", "institutions")}

@@ -126,3 +126,26 @@ def test_forward_fill_distributed_matches_window_on_skew(spark):
     ref = I.forward_fill(df, "k", "t", ["a", "b"], strategy="window")
     assert got.columns == df.columns
     assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, ref.collect()), key=str)
+
+
+def test_database_roundtrip(spark, fixture_fact, all_filters):
+    from equiscope.plans.engine import CompletionsEngine
+
+    inst = spark.createDataFrame([(1, "University 1"), (2, "University 2")], "unitid long, institution_name string")
+    root = FS.scratch_path(spark, "test-db")
+    FS.write_database(fixture_fact, inst, root)
+    with pytest.raises(Exception):
+        FS.write_database(fixture_fact, inst, root)
+    eng = CompletionsEngine.from_database(spark, root)
+    assert "cip_title" not in eng.fact.columns
+    assert eng.get_cip_table().count() == 3
+    df = eng.uni_field_totals_by_grouping("gender", "ncses_detailed_field_group", all_filters)
+    assert df.count() == 12
+
+
+def test_read_lookup_csv(spark):
+    root = tempfile.mkdtemp(prefix="eqs-lk-")
+    with open(f"{root}/freq.csv", "w") as fh:
+        fh.write("VarName,CodeValue,ValueLabel\nCONTROL,1,Public\n")
+    d = FS.read_lookup_csv(spark, f"{root}/freq.csv")
+    assert d.columns == ["varname", "codevalue", "valuelabel"]
