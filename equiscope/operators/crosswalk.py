@@ -6,7 +6,8 @@ so a 1990 code passes through the first two hops, a 2015 code only the last.
 
 The chain is evaluated on the distinct (year, code) pairs -- bounded by the
 code vocabulary times the years -- and joined back to the data once, so the
-large input meets exactly one (broadcast-checked) join instead of one per hop.
+large input meets exactly one join (broadcast at runtime by AQE when the
+pairs are small) instead of one per hop.
 """
 
 from __future__ import annotations
@@ -188,7 +189,10 @@ def crosswalk_chain(
     )
     outs = [F.col("__code").alias(out_code)] + ([F.col("__title").alias(out_title)] if out_title else [])
     mapped = w.select(*keys, *outs)
-    return df.join(broadcast_if_small(mapped), keys, "left")
+    # ``mapped`` is derived from the data: no count-then-broadcast (that would
+    # compute it twice); AQE turns the join into a broadcast join at runtime
+    # when the materialised pairs are small, reusing the computed stage.
+    return df.join(mapped, keys, "left")
 
 
 # ---------------------------------------------------------------------------
