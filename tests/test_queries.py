@@ -213,3 +213,21 @@ def test_catalog(fixture_engine):
         {"g": ["women"], "y": 1984},
     )
     assert df.collect()[0]["n"] == 18
+
+
+@pytest.mark.parametrize("by_year", [False, True])
+@pytest.mark.parametrize("taxonomy", [t.value for t in FieldTaxonomy])
+@pytest.mark.parametrize("grouping", ["gender", "race_ethnicity", "intersectional"])
+def test_parameter_product(fixture_engine, all_filters, grouping, taxonomy, by_year):
+    # effect sizes (the expensive part) on the by-year half of the product
+    df = fixture_engine.uni_field_totals_by_grouping(grouping, taxonomy, all_filters, by_year=by_year,
+                                                     rel_rate=True, effect_size=by_year)
+    suffix = "intersectional" if grouping == "intersectional" else f"within_{grouping}"
+    expected = [f"field_degrees_{suffix}", "field_pct", "rel_rate"]
+    if by_year:
+        expected += ["median_rel_rate_uni", "excess_degrees_from_median_expected_pvalue"]
+    for c in expected:
+        assert c in df.columns
+    assert df.count() > 0
+    nat = fixture_engine.field_totals_by_grouping(grouping, taxonomy, all_filters, by_year=by_year, rel_rate=True)
+    assert nat.count() > 0 and "bounded_rel_rate" in nat.columns
