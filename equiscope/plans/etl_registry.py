@@ -812,3 +812,25 @@ def q_institutions_merge(spark, sf_dir):
     return latest.withColumns(
         {"tech_school": I.tech_school(F.col("institution_name")), "health_school": I.health_school(F.col("institution_name"))}
     )
+
+
+@reg("stream_ingest_years", ORACLE["read_year"])
+def q_stream_ingest_years(spark, sf_dir):
+    """Structured Streaming ingestion of the yearly raw files reproduces the
+    batch reader: the rule-derived wide rows are written as one CSV folder per
+    year, picked up by the file stream and merged into the fact table."""
+    from equiscope.streaming.ingest import start_ingest
+
+    root = FS.scratch_path(spark, "stream")
+    wide = wide_from(B.sql_df(spark, sf_dir, RAW_YEAR_LONG_SQL, FACT4))
+    cols = ["unitid", "cipcode", "awlevel", "majornum", *POST]
+    wide.select(*cols, "year").write.partitionBy("year").option("header", True).csv(f"{root}/landing")
+    q = start_ingest(spark, f"{root}/landing", cols, f"{root}/fact", f"{root}/ckpt", hops(spark, sf_dir),
+                     taxonomy(spark, sf_dir), B.sql_df(spark, sf_dir, B.STEM_SQL, PART), S.POST_2010_CODES)
+    q.awaitTermination()
+    out = spark.read.parquet(f"{root}/fact")
+    return out.select(
+        "unitid", "cipcode", "awlevel", "majornum", "year", "cip2020", "race_ethnicity", "gender", "n_awards",
+        "cip_title", "ncses_sci_group", "ncses_field_group", "ncses_detailed_field_group", "nsf_broad_field",
+        "dhs_stem",
+    )
