@@ -231,3 +231,9 @@ def test_parameter_product(fixture_engine, all_filters, grouping, taxonomy, by_y
     assert df.count() > 0
     nat = fixture_engine.field_totals_by_grouping(grouping, taxonomy, all_filters, by_year=by_year, rel_rate=True)
     assert nat.count() > 0 and "bounded_rel_rate" in nat.columns
+
+
+def test_unitids_as_dataframe(spark, fixture_engine, all_filters):
+    ids = spark.createDataFrame([(2,), (2,), (99,)], "unitid long")
+    df = fixture_engine.uni_field_totals_by_grouping("intersectional", DETAILED, all_filters, by_year=True, filter_unitids=ids)
+    check(df, 36, (1, 6, 3, 18))
