@@ -50,3 +50,14 @@ def completions_from_wide(
     tidy = S.filter_zero(S.unpivot_groups(df.select(*ids, *[c for c in df.columns if c not in ids]), ids, code_set))
     tidy = X.classify_taxonomy(tidy, lookup, "cipcode", "cip2020")
     return X.classify_stem(tidy, stem_codes, "cip2020")
+
+
+def read_completions(
+    spark, root: str, hops: Sequence[X.Hop], lookup: DataFrame, stem_codes: DataFrame, code_set: dict | None = None
+) -> DataFrame:
+    """Batch reader for ``root/<year>/*.csv`` files of one layout: revised
+    files (``*rv.csv``) replace the originals of their year, then the yearly
+    reader runs over all years in one job."""
+    from equiscope.sources.files import read_prefer_revised
+
+    return completions_from_wide(clean_headers(read_prefer_revised(spark, root)), hops, lookup, stem_codes, code_set)

@@ -60,3 +60,22 @@ def test_stream_ingest(spark):
     write(root, 2015, "c2015b.csv", [row(8, "01.0001", 5)])  # late original: ignored
     fact = run()
     assert {r["unitid"] for r in fact.filter("year = 2015").collect()} == {7}
+
+
+def test_batch_reader_matches_stream_semantics(spark):
+    from equiscope.plans.yearly import read_completions
+
+    root = tempfile.mkdtemp(prefix="eqs-batch-")
+    empty = spark.createDataFrame([], "origin_code string, dest_code string")
+    hops = [X.Hop(1984, 2019, empty, spark.createDataFrame([], "code string, title string"))]
+    lookup = X.taxonomy_lookup(spark.createDataFrame(
+        [("01.0002", "Two", "Science and engineering", "Engineering", "Other Engineering")],
+        "code string, title string, ncses_sci_group string, ncses_field_group string, ncses_detailed_field_group string"))
+    stem = spark.createDataFrame([("01.0002",)], "code string")
+    write(root, 2015, "c2015.csv", [row(1, "01.0002", 3), row(1, "", 0, total=True)])
+    write(root, 2015, "c2015rv.csv", [row(7, "01.0002", 9)])
+    write(root, 2016, "c2016.csv", [row(2, "01.0003", 4)])
+    got = read_completions(spark, root, hops, lookup, stem, POST_2010_CODES)
+    rows = got.filter("n_awards IS NOT NULL").collect()
+    assert {(r["year"], r["unitid"]) for r in rows} == {(2015, 7), (2016, 2)}
+    assert {r["dhs_stem"] for r in rows if r["cip2020"] == "01.0002"} == {True}
