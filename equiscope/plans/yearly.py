@@ -61,3 +61,46 @@ def read_completions(
     from equiscope.sources.files import read_prefer_revised
 
     return completions_from_wide(clean_headers(read_prefer_revised(spark, root)), hops, lookup, stem_codes, code_set)
+
+
+def read_institutions(
+    spark,
+    root: str,
+    dictionary: DataFrame,
+    varnames: DataFrame | None = None,
+    keep_raw: Sequence[str] = ("STABBR",),
+) -> DataFrame:
+    """Institution attributes from ``root/<vintage>/*.csv`` (Latin-1, one
+    file per vintage) merged to one row per institution.
+
+    Each vintage is read on its own (layouts differ between vintages) and the
+    vintages are unioned by name; coded values become labels via
+    ``dictionary`` (varname, codevalue, valuelabel); with ``varnames``
+    (original_colname, mapped_colname, metadata_vintage) columns take their
+    latest label; name flags are added; every attribute keeps its most recent
+    non-NULL value."""
+    from equiscope.operators import institutions as I
+    from equiscope.sources.files import read_institution_csv, vintage_from_path
+
+    jvm_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
+    fs = jvm_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    folders = sorted(st.getPath().toString() for st in fs.listStatus(jvm_path) if st.isDirectory())
+    frames = [
+        vintage_from_path(I.clean_raw_strings(read_institution_csv(spark, f"{d}/*.csv")), "metadata_vintage",
+                          r"/(\d{4})/[^/]*$")
+        for d in folders
+    ]
+    df = frames[0]
+    for f in frames[1:]:
+        df = df.unionByName(f, allowMissingColumns=True)
+    # the set of coded variables is schema-sized (one row per variable)
+    coded = {r[0] for r in dictionary.select("varname").distinct().collect()}
+    df = I.join_code_labels(df, dictionary, [c for c in df.columns if c in coded], keep_raw)
+    if varnames is not None:
+        latest = {r[0]: r[1] for r in I.latest_column_names(varnames).collect()}
+        df = df.withColumnsRenamed({k: v for k, v in latest.items() if k in df.columns})
+    df = df.withColumn("unitid", F.col("unitid").cast("long"))
+    name = "institution_name"
+    if name in df.columns:
+        df = df.withColumns({"tech_school": I.tech_school(F.col(name)), "health_school": I.health_school(F.col(name))})
+    return I.latest_non_null(df, "unitid", "metadata_vintage")

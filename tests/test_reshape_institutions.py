@@ -149,3 +149,25 @@ def test_read_lookup_csv(spark):
         fh.write("VarName,CodeValue,ValueLabel\nCONTROL,1,Public\n")
     d = FS.read_lookup_csv(spark, f"{root}/freq.csv")
     assert d.columns == ["varname", "codevalue", "valuelabel"]
+
+
+def test_read_institutions(spark):
+    from equiscope.plans.yearly import read_institutions
+
+    root = tempfile.mkdtemp(prefix="eqs-inst-")
+    files = {
+        "2020": "UNITID,INSTNM,CONTROL,STABBR\n1, Old Tech ,1,CA\n2,Art School,2,NY\n",
+        "2021": "UNITID,INSTNM,CONTROL\n1,Institute of Technology,\n3,Health Science Center,9\n",
+    }
+    for year, body in files.items():
+        os.makedirs(f"{root}/{year}")
+        with open(f"{root}/{year}/hd{year}.csv", "w", encoding="latin-1") as fh:
+            fh.write(body)
+    d = spark.createDataFrame([("CONTROL", "1", "Public"), ("CONTROL", "2", "Private")], "varname string, codevalue string, valuelabel string")
+    names = spark.createDataFrame([("INSTNM", "institution_name", 2021), ("CONTROL", "control", 2021),
+                                   ("UNITID", "unitid", 2021), ("STABBR", "state", 2021)],
+                                  "original_colname string, mapped_colname string, metadata_vintage int")
+    got = {r["unitid"]: r for r in read_institutions(spark, root, d, names).collect()}
+    assert got[1]["institution_name"] == "Institute of Technology" and got[1]["tech_school"] is True
+    assert got[1]["control"] == "Public" and got[1]["state"] == "CA" and got[1]["metadata_vintage"] == 2021
+    assert got[2]["control"] == "Private" and got[3]["health_school"] is True and got[3]["control"] is None
