@@ -237,3 +237,14 @@ def test_unitids_as_dataframe(spark, fixture_engine, all_filters):
     ids = spark.createDataFrame([(2,), (2,), (99,)], "unitid long")
     df = fixture_engine.uni_field_totals_by_grouping("intersectional", DETAILED, all_filters, by_year=True, filter_unitids=ids)
     check(df, 36, (1, 6, 3, 18))
+
+
+def test_empty_lists_and_show_query(fixture_engine, all_filters, capsys):
+    with warnings.catch_warnings():
+        warnings.simplefilter("ignore")
+        none = QueryFilters(race_ethns=[])
+    assert fixture_engine.field_totals_by_grouping("gender", DETAILED, none).count() == 0
+    # a falsy unit list means "no unit filter"
+    assert fixture_engine.field_totals_by_grouping("gender", DETAILED, all_filters, filter_unitids=[]).count() == 6
+    fixture_engine.field_totals_by_grouping("gender", DETAILED, all_filters, show_query=True)
+    assert "Physical Plan" in capsys.readouterr().out
