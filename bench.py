@@ -9,6 +9,9 @@ the median of ``$BENCH_REPS`` runs after one warm-up run.
 Secondary (``stored_fact``): the fact built once by the ETL sink (Parquet,
 partitioned by year) and the same queries run against it -- the way the
 original library is used (queries over a pre-built database).
+
+Reference (``duckdb_same_machine``): the same four queries as SQL on
+in-process DuckDB over the same Parquet files, on this machine.
 """
 
 from __future__ import annotations
@@ -52,6 +55,44 @@ def queries(spark, eng=None):
     }
 
 
+def duckdb_reference(reps: int) -> dict:
+    """Same four queries as DuckDB SQL (the oracle texts) on this machine,
+    timed like the survey's baseline: CREATE TEMP TABLE AS, median of runs."""
+    try:
+        import duckdb
+    except ImportError:  # pragma: no cover
+        return {}
+    from equiscope.plans.bindings import plain
+    from equiscope.plans.oracle import canned_query_sql
+    from equiscope.sources.tables import TABLES
+
+    det = "ncses_detailed_field_group"
+    yrs = dict(start_year=1996, end_year=2000, by_year=True, field=det, taxonomy_col=None, taxonomy_values=None)
+    specs = {
+        "rollup_gender": dict(grouping="gender", agg_type="rollup", per_unit=False, field=None, by_year=False,
+                              rel_rate=True, start_year=1984, end_year=2024, taxonomy_col="ncses_field_group",
+                              taxonomy_values=["FG1", "FG2"]),
+        "field_intersectional_by_year": dict(grouping="intersectional", agg_type="field", per_unit=False,
+                                             rel_rate=True, **yrs),
+        "uni_field_intersectional_by_year": dict(grouping="intersectional", agg_type="field", per_unit=True, **yrs),
+        "uni_field_effect_size": dict(grouping="intersectional", agg_type="field", per_unit=True,
+                                      effect_size=True, **yrs),
+    }
+    con = duckdb.connect()
+    for t in TABLES:
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF_DIR}/{t}.parquet')")
+    out = {}
+    for name, spec in specs.items():
+        sql = plain(canned_query_sql(**spec))
+        times = []
+        for _ in range(reps + 1):
+            t = time.perf_counter()
+            con.execute(f"CREATE OR REPLACE TEMP TABLE r AS {sql}")
+            times.append(time.perf_counter() - t)
+        out[name] = round(statistics.median(times[1:]), 3)
+    return out
+
+
 def run(df_fn) -> float:
     t = time.perf_counter()
     df_fn().write.format("noop").mode("overwrite").save()
@@ -78,6 +119,7 @@ def main():
     for fn in sq.values():
         run(fn)
     smed = {name: statistics.median(run(fn) for _ in range(REPS)) for name, fn in sq.items()}
+    duck = duckdb_reference(REPS)
     sf = os.path.basename(SF_DIR.rstrip("/")).replace("sf", "")
     out = {
         "metric": "sum of median query latency (4 headline queries)",
@@ -87,6 +129,7 @@ def main():
         "first_run": {k: round(v, 3) for k, v in first.items()},
         "stored_fact": {"build_sec": round(build, 3), "queries": {k: round(v, 3) for k, v in smed.items()},
                         "total": round(sum(smed.values()), 3)},
+        "duckdb_same_machine": {"queries": duck, "total": round(sum(duck.values()), 3)},
         "sf": float(sf) if sf.replace(".", "").isdigit() else sf,
         "cpus": int(CPUS),
     }
