@@ -44,7 +44,7 @@ from equiscope.llm.text import U64, Texts, as_bytes
 MIN_WORDS = 13
 SEED_WORDS = 5
 #: Text bytes per block and per hash bucket, roughly.
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
 BUCKET_BYTES = 32 << 20
 #: Small tables get smaller blocks, down to this, so that all cores have some.
 LEAST_BYTES = 256 << 10
@@ -148,7 +148,8 @@ def _find(wanted: np.ndarray, keys: np.ndarray) -> np.ndarray:
 
 
 class Parser:
-    """The exchange, for one table of (row, id, text, block)."""
+    """The exchange, for one table of (row, id, text, block).  All three
+    passes group the same table, so Spark shuffles it once."""
 
     def __init__(self, blocks: DataFrame, buckets: int, min_words: int, seed_words: int):
         self.blocks, self.buckets, self.min_words, self.seed_words = blocks, buckets, min_words, seed_words
@@ -170,7 +171,7 @@ class Parser:
             bits = [np.packbits(k).tobytes() for k in np.split(_find(twice, keys[:, 0]), ends[:-1])]
             return pa.table({"block": table.column("block"), "bucket": table.column("bucket"), "bits": pa.array(bits, pa.binary())})
 
-        sent = self.blocks.select("block", "id", "text").groupBy("block").applyInArrow(send, "block long, bucket long, keys binary")
+        sent = self.blocks.groupBy("block").applyInArrow(send, "block long, bucket long, keys binary")
         return sent.groupBy("bucket").applyInArrow(answer, "block long, bucket long, bits binary")
 
     @staticmethod
@@ -212,7 +213,7 @@ class Parser:
             return pa.table({"block": table.column("block"), "bucket": table.column("bucket"), "docs": pa.array(out, pa.binary())})
 
         sent = (
-            self.blocks.select("block", "id", "text").groupBy("block").cogroup(seeds.groupBy("block"))
+            self.blocks.groupBy("block").cogroup(seeds.groupBy("block"))
             .applyInArrow(send, "block long, bucket long, keys binary, docs binary")
         )
         return sent.groupBy("bucket").applyInArrow(answer, "block long, bucket long, docs binary")
