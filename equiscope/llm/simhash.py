@@ -20,8 +20,8 @@ each point.  Two members are within the distance exactly if they have such a
 point in common (for an odd distance, a point with one bit left open).  This
 is linear in the bucket, loses no link, and the verification still follows.
 
-Defined results: null ids take no part in the choice of the smallest id but
-their rows are returned; null and empty texts have fingerprint zero; repeated
+Defined results: null ids take no part in the choice of the smallest id (a
+group of nulls alone has a null id) but their rows are returned; null and empty texts have fingerprint zero; repeated
 rows are one vertex; an empty table gives an empty result.
 """
 
@@ -148,11 +148,13 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
 def keep_first(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One document of each group, the one with the smallest id, with all
-    its columns.  Rows that repeat an id are one document: one of them stays."""
+    its columns.  Rows that repeat an id are one document: one of them stays.
+    Rows with a null id cannot be told apart by it; they all stay."""
     found = near_duplicates(docs, doc_id, text)
     first = found.filter("doc_id = component_id").select("doc_id").distinct()
     kept = first.withColumnRenamed("doc_id", "__first")
-    return docs.join(kept, docs[doc_id] == kept["__first"]).drop("__first").dropDuplicates([doc_id])
+    chosen = docs.join(kept, docs[doc_id] == kept["__first"]).drop("__first").dropDuplicates([doc_id])
+    return chosen.unionByName(docs.filter(docs[doc_id].isNull()))
 
 
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
