@@ -124,8 +124,8 @@ CANNED: dict[str, dict] = {
 }
 
 
-def run_canned(spark: SparkSession, sf_dir: str, spec: dict, median_strategy: str = "auto") -> DataFrame:
-    eng = engine_for(spark, sf_dir, median_strategy=median_strategy)
+def run_canned(spark: SparkSession, sf_dir: str, spec: dict) -> DataFrame:
+    eng = engine_for(spark, sf_dir)
     qf = QueryFilters(strict=False, **spec["filters"])
     common = dict(
         query_filters=qf, by_year=spec.get("by_year", False), rel_rate=spec.get("rel_rate", False),
