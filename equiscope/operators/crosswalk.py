@@ -4,10 +4,9 @@ A crosswalk *hop* maps codes of one vintage to the next; the *chain* walks a
 code forward through every hop whose range ends at or after the row's year,
 so a 1990 code passes through the first two hops, a 2015 code only the last.
 
-The chain is evaluated on the distinct (year, code) pairs -- bounded by the
-code vocabulary times the years -- and joined back to the data once, so the
-large input meets exactly one join (broadcast at runtime by AQE when the
-pairs are small) instead of one per hop.
+The hops of the chain are composed to one table over (first hop, code), which
+is bounded by the code vocabulary times the hops, and the data is joined to it
+once, instead of once per hop.
 """
 
 from __future__ import annotations
@@ -18,7 +17,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from equiscope.operators.lookup import broadcast_if_small, last_wins
+from equiscope.operators.lookup import lookup_side, last_wins
 from equiscope.vocab import (
     NSF_BROAD_FIELD_MAP,
     UNKNOWN_TITLE,
@@ -81,32 +80,31 @@ def load_legacy_crosswalk(
     end: int,
     corrections: dict[str, str] | None = None,
 ) -> Hop:
-    """Loader for the older format.  Rows need both codes, a title not marked
-    Deleted, a destination that is not a "Report as"/"Deleted" note and that
-    differs from the origin.  With several sources, later sources win over
-    earlier ones; within a source the last row wins.  ``corrections`` override
-    the code map."""
+    """Loader for the older format.  The last source is the main one and wins:
+    its rows need both codes, a title not marked Deleted, a destination that is
+    not a "Report as"/"Deleted" note and that differs from the origin.  Earlier
+    sources fill in what it lacks and need both codes only, so their rows that
+    map a code to itself give that code its title.  Within a source the last
+    row wins.  ``corrections`` override the code map."""
     parts = []
     for prio, src in enumerate(sources):
-        parts.append(
-            src.select(
-                F.col(origin).alias("origin_code"),
-                F.col(dest).alias("dest_code"),
-                F.col(title).alias("title"),
-                F.struct(F.lit(prio).alias("p"), F.col(pos).alias("q")).alias("pos"),
+        part = src.select(
+            F.col(origin).alias("origin_code"),
+            F.col(dest).alias("dest_code"),
+            F.col(title).alias("title"),
+            F.struct(F.lit(prio).alias("p"), F.col(pos).alias("q")).alias("pos"),
+        ).filter("origin_code is not null and dest_code is not null")
+        if prio == len(sources) - 1:
+            part = part.filter(
+                ~F.coalesce(F.col("title").contains("Deleted"), F.lit(False))
+                & ~F.col("dest_code").contains("Report")
+                & ~F.col("dest_code").contains("Deleted")
+                & (F.col("origin_code") != F.col("dest_code"))
             )
-        )
+        parts.append(part)
     r = parts[0]
     for p in parts[1:]:
         r = r.unionByName(p)
-    r = r.filter(
-        F.col("origin_code").isNotNull()
-        & F.col("dest_code").isNotNull()
-        & ~F.coalesce(F.col("title").contains("Deleted"), F.lit(False))
-        & ~F.col("dest_code").contains("Report")
-        & ~F.col("dest_code").contains("Deleted")
-        & (F.col("origin_code") != F.col("dest_code"))
-    )
     codes = last_wins(r, "origin_code", ["dest_code"], "pos")
     if corrections:
         spark = r.sparkSession
@@ -137,8 +135,8 @@ def crosswalk_hop(
     g = F.lit(True) if guard is None else guard
     out_title = title or f"{code}_title"
     has = (F.lit(title is not None) if titled is None else titled)
-    cm = broadcast_if_small(hop.codes.select(F.col("origin_code").alias("__o"), F.col("dest_code").alias("__d")))
-    tm = broadcast_if_small(hop.titles.select(F.col("code").alias("__tc"), F.col("title").alias("__tt")))
+    cm = lookup_side(hop.codes.select(F.col("origin_code").alias("__o"), F.col("dest_code").alias("__d")))
+    tm = lookup_side(hop.titles.select(F.col("code").alias("__tc"), F.col("title").alias("__tt")))
     tn = tm.select(F.col("__tc").alias("__nc"), F.col("__tt").alias("__nt"))
     j = df.join(cm, df[code] == F.col("__o"), "left").join(tm, F.col(code) == F.col("__tc"), "left")
     new_code = F.coalesce(F.col("__d"), F.col(code))
@@ -154,6 +152,31 @@ def crosswalk_hop(
     return j.drop("__o", "__d", "__tc", "__tt", "__nc", "__nt", "__new")
 
 
+def composed_hops(hops: Sequence[Hop], titled: bool) -> DataFrame:
+    """(__until, __from, __code, __title): where a code of a survey year ends
+    up after all its hops.
+
+    ``__until`` is the last year of the hop that the walk starts with; codes
+    that no hop table mentions are not listed (they stay as they are).  The
+    table has at most (codes in the hop tables) x (hops) rows and is made from
+    the hop tables alone, without a look at the data."""
+    hops = sorted(hops, key=lambda h: h.start)
+    codes = None
+    for h in hops:
+        named = h.codes.select(F.col("origin_code").alias("__from")).union(h.titles.select("code"))
+        codes = named if codes is None else codes.union(named)
+    ends = sorted({h.end for h in hops})
+    w = codes.filter("__from is not null").distinct().select(
+        F.explode(F.array(*[F.lit(e) for e in ends])).alias("__until"), "__from",
+        F.col("__from").alias("__code"), F.lit(None).cast("string").alias("__title"), F.lit(titled).alias("__titled"),
+    )
+    for h in hops:
+        guard = F.col("__until") <= h.end
+        w = crosswalk_hop(w, h, "__code", "__title", guard, titled=F.col("__titled"))
+        w = w.withColumn("__titled", F.col("__titled") | guard)
+    return w.drop("__titled")
+
+
 def crosswalk_chain(
     df: DataFrame,
     hops: Sequence[Hop],
@@ -162,37 +185,29 @@ def crosswalk_chain(
     out_code: str = "cip2020",
     out_title: str | None = "cip2020_title",
     title: str | None = None,
+    broadcast: bool = True,
 ) -> DataFrame:
     """Walk ``code`` forward to the newest vintage.
 
     Hops are applied in order of their start year, each only to rows with
     ``year <= hop.end``; years before the first hop's start raise an error.
-    Evaluated once per distinct (year, code[, title]) and joined back."""
-    hops = sorted(hops, key=lambda h: h.start)
-    first = hops[0].start
-    keys = [year, code] + ([title] if title else [])
-    w = df.select(*keys).distinct().withColumns(
-        {
-            "__code": F.col(code),
-            "__title": F.col(title) if title else F.lit(None).cast("string"),
-            "__titled": F.lit(title is not None),
-        }
-    )
-    for h in hops:
-        guard = F.col(year) <= h.end
-        w = crosswalk_hop(w, h, "__code", "__title", guard, titled=F.col("__titled"))
-        w = w.withColumn("__titled", F.col("__titled") | guard)
-    w = w.withColumn(
-        "__code",
-        F.when(F.col(year) < first, F.raise_error(F.lit(f"Year provided must be at least {first}")))
-        .otherwise(F.col("__code")),
-    )
-    outs = [F.col("__code").alias(out_code)] + ([F.col("__title").alias(out_title)] if out_title else [])
-    mapped = w.select(*keys, *outs)
-    # ``mapped`` is derived from the data: no count-then-broadcast (that would
-    # compute it twice); AQE turns the join into a broadcast join at runtime
-    # when the materialised pairs are small, reusing the computed stage.
-    return df.join(mapped, keys, "left")
+    The hops are composed to one table first (:func:`composed_hops`), so the
+    data meets a single broadcast join and is neither shuffled nor read
+    twice."""
+    first = min(h.start for h in hops)
+    until = F.lit(None).cast("int")
+    for end in sorted({h.end for h in hops}, reverse=True):
+        until = F.when(F.col(year) <= end, end).otherwise(until)
+    until = F.when(
+        F.col(year) < first, F.raise_error(F.lit(f"Year provided must be at least {first}")).cast("int")
+    ).otherwise(until)
+    walked = lookup_side(composed_hops(hops, title is not None), broadcast)
+    j = df.withColumn("__year_until", until)
+    j = j.join(walked, (j["__year_until"] == walked["__until"]) & (j[code] == walked["__from"]), "left")
+    outs = {out_code: F.coalesce(F.col("__code"), F.col(code))}
+    if out_title:
+        outs[out_title] = F.coalesce(F.col("__title"), F.col(title)) if title else F.col("__title")
+    return j.withColumns(outs).drop("__year_until", "__until", "__from", "__code", "__title")
 
 
 # ---------------------------------------------------------------------------
@@ -267,7 +282,7 @@ def classify_taxonomy(df: DataFrame, lookup: DataFrame, original: str = "cipcode
     of the current code, fall back level by level to the original code, then
     to the "unknown" labels."""
     levels = ["title", "ncses_sci_group", "ncses_field_group", "ncses_detailed_field_group", "nsf_broad_field"]
-    lk = broadcast_if_small(lookup.select("code", *levels))
+    lk = lookup_side(lookup.select("code", *levels))
     o = lk.select(F.col("code").alias("__oc"), *[F.col(c).alias("__o_" + c) for c in levels])
     j = df.join(o, df[original] == F.col("__oc"), "left")
     if current is not None:
@@ -289,7 +304,7 @@ def classify_taxonomy(df: DataFrame, lookup: DataFrame, original: str = "cipcode
 
 
 def lookup_titles(df: DataFrame, lookup: DataFrame, code: str, out: str = "cip_title", fill_na: bool = True) -> DataFrame:
-    t = broadcast_if_small(lookup.select(F.col("code").alias("__k"), F.col("title").alias("__t")))
+    t = lookup_side(lookup.select(F.col("code").alias("__k"), F.col("title").alias("__t")))
     j = df.join(t, df[code] == F.col("__k"), "left")
     v = F.coalesce(F.col("__t"), F.lit(UNKNOWN_TITLE)) if fill_na else F.col("__t")
     return j.withColumn(out, v).drop("__k", "__t")
@@ -297,6 +312,6 @@ def lookup_titles(df: DataFrame, lookup: DataFrame, code: str, out: str = "cip_t
 
 def classify_stem(df: DataFrame, stem_codes: DataFrame, code: str = "cip2020", out: str = "dhs_stem") -> DataFrame:
     """Membership flag (never NULL): code in the STEM list."""
-    s = broadcast_if_small(stem_codes.select(F.col("code").alias("__s")).distinct())
+    s = lookup_side(stem_codes.select(F.col("code").alias("__s")).distinct())
     j = df.join(s, df[code] == F.col("__s"), "left")
     return j.withColumn(out, F.col("__s").isNotNull()).drop("__s")

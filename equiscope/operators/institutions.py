@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from equiscope.operators.lookup import broadcast_if_small
+from equiscope.operators.lookup import lookup_side
 from equiscope.session import ensure_checkpoint_dir
 
 TECH_PATTERN = "(?i)Polytech|techn|school of mines|Technology|Engineering"
@@ -93,30 +93,51 @@ def latest_column_names(
     names: DataFrame, original: str = "original_colname", mapped: str = "mapped_colname",
     vintage: str = "metadata_vintage",
 ) -> DataFrame:
-    """Per original variable name, its label from the latest vintage."""
-    return names.groupBy(original).agg(F.max_by(F.col(mapped), F.col(vintage)).alias(mapped))
+    """Per original variable name, its latest label that is not NULL."""
+    order = F.when(F.col(mapped).isNotNull(), F.col(vintage))
+    return names.groupBy(original).agg(F.max_by(F.col(mapped), order).alias(mapped))
 
 
 def join_code_labels(
     df: DataFrame, dictionary: DataFrame, columns: Sequence[str], keep_raw: Sequence[str] = ("STABBR",),
-    varname: str = "varname", code: str = "codevalue", label: str = "valuelabel",
+    varname: str = "varname", code: str = "codevalue", label: str = "valuelabel", vintage: str | None = None,
+    pos: str | None = None, broadcast: bool = True,
 ) -> DataFrame:
     """Replace coded values by their labels for each column in ``columns``
-    (except ``keep_raw``); unmapped values become NULL."""
-    out = df
-    for col in columns:
-        if col in keep_raw:
-            continue
-        d = dictionary.filter(F.col(varname) == col).select(
-            F.col(code).alias("__c"), F.col(label).alias("__l")
-        )
-        d = d.groupBy("__c").agg(F.max("__l").alias("__l"))
-        out = (
-            out.join(broadcast_if_small(d), out[col].cast("string") == F.col("__c"), "left")
-            .withColumn(col, F.col("__l"))
-            .drop("__c", "__l")
-        )
-    return out
+    (except ``keep_raw``); unmapped values become NULL.
+
+    With ``vintage`` (a column of both tables) every row uses the dictionary
+    of its own vintage, and a variable that has no entries there stays as it
+    is.  Of several entries for a code the last one, by
+    ``pos``, wins (without ``pos``: the last in the dictionary's row order).
+
+    One join: the dictionary is folded to one map (variable, code) -> label
+    per vintage, so the number of coded columns costs nothing."""
+    coded = [c for c in columns if c not in keep_raw]
+    if not coded:
+        return df
+    order = F.col(pos) if pos else F.monotonically_increasing_id()
+    keys = [F.col(vintage).alias("__vintage")] if vintage else []
+    entries = dictionary.filter(F.col(varname).isin(coded)).select(
+        *keys, F.struct(F.col(varname).alias("v"), F.col(code).cast("string").alias("c")).alias("__key"),
+        F.col(label).alias("__label"), order.alias("__pos"),
+    )
+    one = entries.groupBy(*[k for k in ["__vintage"] if vintage], "__key").agg(
+        F.max_by("__label", "__pos").alias("__label")
+    )
+    folded = one.groupBy(*(["__vintage"] if vintage else [])).agg(
+        F.map_from_entries(F.collect_list(F.struct("__key", "__label"))).alias("__map"),
+        F.collect_set("__key.v").alias("__vars"),
+    )
+    side = lookup_side(folded, broadcast)
+    out = df.join(side, df[vintage] == F.col("__vintage"), "left") if vintage else df.join(side, how="left")
+    named = {}
+    for c in coded:
+        raw = F.col(f"`{c}`").cast("string")
+        found = F.col("__map")[F.struct(F.lit(c).alias("v"), raw.alias("c"))]
+        keeps = ~F.coalesce(F.array_contains("__vars", c), F.lit(False)) if vintage else F.lit(False)
+        named[c] = F.when(keeps, raw).otherwise(found)
+    return out.withColumns(named).drop("__map", "__vars", "__vintage")
 
 
 def unmapped_codes(df: DataFrame, dictionary: DataFrame, col: str, varname: str = "varname", code: str = "codevalue") -> DataFrame:

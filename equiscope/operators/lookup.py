@@ -4,22 +4,29 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Lookup tables (code maps, dictionaries, taxonomies) are broadcast only when
-# a cheap bounded count proves them small; otherwise the join is left to the
-# planner / AQE.
-BROADCAST_MAX_ROWS = 200_000
+#: Lookup tables (code maps, dictionaries, taxonomies) are vocabularies; this
+#: is the most rows that are ever sent to all executors.
+MAX_LOOKUP_ROWS = 500_000
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast hint only after checking ``df`` has at most ``max_rows`` rows.
+def lookup_side(df: DataFrame, broadcast: bool = True, max_rows: int = MAX_LOOKUP_ROWS) -> DataFrame:
+    """``df`` as the small side of a join.
 
-    The check reads at most ``max_rows + 1`` rows (``limit`` stops early), so
-    it is cheap for the small tables it is meant for and bounded otherwise."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    Broadcast with a check inside the plan: the limit stops at one row too
+    many, and then the query fails and names the way out -- ``broadcast=False``,
+    which leaves the join to the planner.  Nothing runs while the plan is
+    built."""
+    if not broadcast:
+        return df
+    n = F.count(F.lit(1)).over(Window.partitionBy(F.lit(0)))
+    too_many = F.raise_error(F.lit(f"lookup table of more than {max_rows} rows: pass broadcast=False"))
+    checked = df.limit(max_rows + 1).withColumn("__rows", n).filter(
+        F.when(F.col("__rows") <= max_rows, F.lit(True)).otherwise(too_many.cast("boolean"))
+    )
+    return F.broadcast(checked.drop("__rows"))
 
 
 def last_wins(

@@ -174,9 +174,10 @@ def default_majornum(df: DataFrame) -> DataFrame:
     return df.withColumn("majornum", F.lit(1))
 
 
-def project_known_columns(df: DataFrame) -> DataFrame:
-    """Keep index columns and known measure columns (names already cleaned)."""
+def project_known_columns(df: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
+    """Keep index columns, ``extra`` ones and known measure columns (names
+    already cleaned)."""
     missing = [c for c in INDEX_COLS if c not in df.columns]
     if missing:
         raise KeyError(f"index columns missing: {missing}")
-    return df.select(*[c for c in df.columns if c in INDEX_COLS or c in ALL_CODES])
+    return df.select(*[c for c in df.columns if c in INDEX_COLS or c in ALL_CODES or c in extra])

@@ -74,8 +74,8 @@ def _sql_legacy(ks: list[int], name: str, corrections: dict | None = None) -> li
     raw = f"raw_{name}"
     keep = (
         f"SELECT * FROM {raw} WHERE origin IS NOT NULL AND dest IS NOT NULL "
-        "AND NOT coalesce(contains(title, 'Deleted'), FALSE) AND NOT contains(dest, 'Report') "
-        "AND NOT contains(dest, 'Deleted') AND origin <> dest"
+        f"AND (prio < {len(ks) - 1} OR NOT coalesce(contains(title, 'Deleted'), FALSE) AND NOT contains(dest, 'Report') "
+        "AND NOT contains(dest, 'Deleted') AND origin <> dest)"
     )
     codes = f"SELECT origin AS origin_code, arg_max(dest, {{'p': prio, 'q': pos}}) AS dest_code FROM {name}_keep GROUP BY 1"
     if corrections:
@@ -764,8 +764,10 @@ def q_median_rel_rate(spark, sf_dir):
 
 @reg("median_rel_rate_aggregate", ORACLE.get("median_rel_rate"))
 def q_median_rel_rate_aggregate(spark, sf_dir):
-    g = scalar_grid(spark, sf_dir)
-    return presentable(median_by(g, ["ncses_field_group", "gender", "year"], "rel_rate", "median_rel_rate", "aggregate"))
+    """The engine's own median aggregate gives the same values."""
+    g = scalar_grid(spark, sf_dir).filter("rel_rate is not null and not isnan(rel_rate)")
+    out = g.groupBy("ncses_field_group", "gender", "year").agg(F.median("rel_rate").alias("median_rel_rate"))
+    return presentable(out)
 
 
 ORACLE["median_rel_rate_aggregate"] = ORACLE["median_rel_rate"].replace(
@@ -787,8 +789,8 @@ def _read_year_sql() -> str:
                      ("ncses_detailed_field_group", "ncses_detailed_field_group"), ("nsf_broad_field", "nsf_broad_field")]:
         cols.append(f"coalesce(c.{src}, o.{src}, {O.q(UNK[out])}) AS {out}")
     final = (
-        f"SELECT w.unitid, w.cipcode, w.awlevel, w.majornum, w.year, w.cip2020, w.race_ethnicity, w.gender, w.n_awards, "
-        f"{', '.join(cols)}, s.code IS NOT NULL AS dhs_stem "
+        f"SELECT w.unitid, w.cipcode, w.awlevel, w.majornum, w.year, w.cip2020, w.race_ethnicity, w.gender, "
+        f"CAST(trim(w.n_awards) AS BIGINT) AS n_awards, {', '.join(cols)}, s.code IS NOT NULL AS dhs_stem "
         "FROM walked w LEFT JOIN lookup o ON w.cipcode = o.code LEFT JOIN lookup c ON w.cip2020 = c.code "
         "LEFT JOIN stem s ON w.cip2020 = s.code"
     )

@@ -1,12 +1,14 @@
 """File sources and sinks.
 
-Yearly raw files are read in one job over all years (the year / vintage is a
-column taken from the path), never in a driver loop.
+Yearly raw files are read in one scan per layout (the year / vintage is a
+column taken from the path).
 """
 
 from __future__ import annotations
 
+import re
 import uuid
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -48,16 +50,6 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
-    """Write ``df`` as Parquet under the shared checkpoint folder and read it
-    back: cuts the lineage, so a result used by several branches is computed
-    once and survives executor loss."""
-    spark = df.sparkSession
-    path = scratch_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.parquet(path)
-
-
 def vintage_from_path(df: DataFrame, out: str = "year", pattern: str = r"/(\d{4})/") -> DataFrame:
     """Add an integer column parsed from each row's source file path; rows
     whose path does not match raise an error (no silent NULL year)."""
@@ -73,24 +65,93 @@ def vintage_from_path(df: DataFrame, out: str = "year", pattern: str = r"/(\d{4}
 
 def prefer_revised(original: DataFrame, revised: DataFrame, key: str = "year") -> DataFrame:
     """Per ``key`` (year): the revised rows where a revision exists, else the
-    original rows.  Anti join on the distinct revised keys (bounded by the
-    number of years) + union."""
-    have = revised.select(key).distinct()
-    return original.join(F.broadcast(have), key, "left_anti").unionByName(revised)
+    original rows.  Anti join on the distinct revised keys + union."""
+    return original.join(revised.select(key).distinct(), key, "left_anti").unionByName(revised)
 
 
-def read_prefer_revised(spark: SparkSession, root: str) -> DataFrame:
-    """Read ``root/<year>/*.csv`` as strings; per year use the ``*rv.csv``
-    (revised) files when present, else the others."""
-    raw = spark.read.option("header", True).csv(f"{root}/*/*.csv")
+def file_headers(spark: SparkSession, pattern: str, encoding: str = "UTF-8") -> list[tuple[str, str]]:
+    """(path, header line) of every file, in order: one small job, one row per
+    file.  A header stands at the beginning of its file, so only first splits
+    are looked at; a file without any line is left out."""
+    lines = spark.read.option("encoding", encoding).text(pattern).select(
+        F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start"), "value",
+        F.monotonically_increasing_id().alias("at"),
+    )
+    first = lines.filter("start = 0").groupBy("path").agg(F.min_by("value", "at").alias("header"))
+    return [(r["path"], r["header"]) for r in first.orderBy("path").collect()]
+
+
+def revised_paths(paths: list[str], pattern: str = r"/(?:year=)?(\d{4})/[^/]*$") -> list[str]:
+    """Of each year's files the revised ones (``*rv.csv``) where there are
+    any, else all.  Paths that name no year are an error."""
+    by_year: dict[str, list[str]] = {}
+    for p in paths:
+        found = re.search(pattern, p)
+        if not found:
+            raise ValueError(f"no year in path {p}")
+        by_year.setdefault(found[1], []).append(p)
+    out = []
+    for year in sorted(by_year):
+        revised = [p for p in by_year[year] if p.endswith("rv.csv")]
+        out += revised or by_year[year]
+    return out
+
+
+def yearly_layouts(spark: SparkSession, pattern: str) -> list[DataFrame]:
+    """The yearly files as strings, one DataFrame per different header, with
+    ``year`` and ``revision`` (1 for revised files) from the path.
+
+    Files of one header are read in one scan under that header, so columns are
+    never matched by position across layouts."""
+    headers = dict(file_headers(spark, pattern))
+    layouts: dict[str, list[str]] = {}
+    for p in revised_paths(list(headers)):
+        layouts.setdefault(headers[p].strip(), []).append(p)
     path = F.col("_metadata.file_path")
-    raw = raw.withColumns(
-        {
+    frames = []
+    for header in sorted(layouts):
+        raw = spark.read.option("header", True).csv([unquote(p) for p in layouts[header]])
+        frames.append(raw.withColumns({
             "year": F.regexp_extract(path, r"/(?:year=)?(\d{4})/[^/]*$", 1).cast("int"),
-            "__rv": path.rlike(r"rv\.csv$"),
-        }
-    )
-    return prefer_revised(raw.filter(~F.col("__rv")), raw.filter(F.col("__rv")), "year").drop("__rv")
+            "revision": F.when(path.rlike(r"rv\.csv$"), 1).otherwise(0),
+        }))
+    return frames
+
+
+def read_prefer_revised(spark: SparkSession, root: str) -> DataFrame:
+    """``root/<year>/*.csv`` as strings, revised files (``*rv.csv``) before
+    originals; layouts are united by column name, absent columns are NULL."""
+    frames = [f.drop("revision") for f in yearly_layouts(spark, f"{root.rstrip('/')}/*/*.csv")]
+    if not frames:
+        raise FileNotFoundError(f"no yearly files under {root}")
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f, allowMissingColumns=True)
+    return out
+
+
+def vintage_frames(spark: SparkSession, pattern: str, encoding: str = "ISO-8859-1") -> list[DataFrame]:
+    """One DataFrame per different header of ``<vintage>/<one file>.csv``, all
+    strings, with ``metadata_vintage`` from the path.  A vintage with more than
+    one file is an error, and so is none at all."""
+    headers = file_headers(spark, pattern, encoding)
+    by_vintage: dict[str, list[str]] = {}
+    for p, _ in headers:
+        found = re.search(r"/(\d{4})/[^/]*$", p)
+        if not found:
+            raise ValueError(f"no vintage in path {p}")
+        by_vintage.setdefault(found[1], []).append(p)
+    many = {v: len(ps) for v, ps in by_vintage.items() if len(ps) > 1}
+    if many or not by_vintage:
+        raise FileNotFoundError(f"each vintage needs one file; found {many or 'none at all'} for {pattern}")
+    layouts: dict[str, list[str]] = {}
+    for p, header in headers:
+        layouts.setdefault(header.strip(), []).append(unquote(p))
+    frames = []
+    for header in sorted(layouts):
+        raw = spark.read.option("header", True).option("encoding", encoding).csv(layouts[header])
+        frames.append(vintage_from_path(raw, "metadata_vintage", r"/(\d{4})/[^/]*$"))
+    return frames
 
 
 def read_institution_csv(spark: SparkSession, path: str) -> DataFrame:
@@ -103,6 +164,16 @@ def read_fact_csv(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("header", True).schema(FACT_SCHEMA).csv(path)
 
 
+def read_stem_list(spark: SparkSession, path: str) -> DataFrame:
+    """(series, code, title) of a STEM list with three columns of any header:
+    two-digit series, code, title; all text, trimmed, one row per code."""
+    raw = spark.read.option("header", True).csv(path)
+    if len(raw.columns) != 3:
+        raise ValueError(f"a STEM list has three columns, not {len(raw.columns)}")
+    named = raw.toDF("series", "code", "title").select(*[F.trim(c).alias(c) for c in ("series", "code", "title")])
+    return named.filter("code is not null").dropDuplicates(["code"])
+
+
 def load_institutions_table(spark: SparkSession, path: str) -> DataFrame:
     """Institution CSVs read as strings, then ``unitid`` typed as integer."""
     df = spark.read.option("header", True).option("inferSchema", False).csv(path)
@@ -118,12 +189,12 @@ def write_interim(df: DataFrame, path: str, partition_by: str | None = "year") -
 def write_fact(df: DataFrame, path: str, overwrite: bool = False) -> None:
     """Persist the fact as Parquet partitioned by year (partition pruning for
     year filters).  Rows are clustered by year first so each task writes few
-    files; range partitioning on (year, unitid) splits a year holding a large
-    share of rows over several tasks.  Refuses to replace existing data unless
-    ``overwrite``."""
+    files; range partitioning on (year, unitid, code) splits a year, or a unit
+    within it, that holds a large share of rows over several tasks.  Refuses to
+    replace existing data unless ``overwrite``."""
     (
-        df.repartitionByRange("year", "unitid")
-        .sortWithinPartitions("year", "unitid")
+        df.repartitionByRange("year", "unitid", "cipcode")
+        .sortWithinPartitions("year", "unitid", "cipcode")
         .write.mode("overwrite" if overwrite else "errorifexists")
         .partitionBy("year")
         .parquet(path)

@@ -46,7 +46,7 @@ def test_stream_ingest(spark):
     fact = run()
     got = [(r["year"], r["unitid"], r["cip2020"], r["n_awards"], r["gender"]) for r in fact.collect()]
     # "0" cells dropped, empty cells kept as NULL, totals line dropped
-    assert (2015, 1, "01.0002", "3", "men") in got
+    assert (2015, 1, "01.0002", 3, "men") in got
     assert all(r[0] in (2015, 2016) for r in got)
     assert {r[2] for r in got} == {"01.0002", "01.0003"}
     assert fact.filter("cip2020 = '01.0002'").first()["dhs_stem"] is True
@@ -79,3 +79,54 @@ def test_batch_reader_matches_stream_semantics(spark):
     rows = got.filter("n_awards IS NOT NULL").collect()
     assert {(r["year"], r["unitid"]) for r in rows} == {(2015, 7), (2016, 2)}
     assert {r["dhs_stem"] for r in rows if r["cip2020"] == "01.0002"} == {True}
+
+
+def test_files_of_one_year_add_up_under_a_cap(spark):
+    """Two files of a year in two micro-batches, then a third one later."""
+    root = tempfile.mkdtemp(prefix="eqs-land-")
+    target, ckpt = tempfile.mkdtemp(prefix="eqs-fact-") + "/fact", tempfile.mkdtemp(prefix="eqs-ckpt-")
+    empty = spark.createDataFrame([], "origin_code string, dest_code string")
+    hops = [X.Hop(1984, 2019, empty, spark.createDataFrame([], "code string, title string"))]
+    lookup = X.taxonomy_lookup(spark.createDataFrame(
+        [], "code string, title string, ncses_sci_group string, ncses_field_group string, ncses_detailed_field_group string"))
+    stem = spark.createDataFrame([("01.0002",)], "code string")
+
+    def units():
+        start_ingest(spark, root, COLS, target, ckpt, hops, lookup, stem, max_files_per_trigger=1).awaitTermination(240)
+        return {(r["year"], r["unitid"]) for r in spark.read.parquet(target).collect()}
+
+    write(root, 2015, "a.csv", [row(1, "01.0001", 3)])
+    write(root, 2015, "b.csv", [row(2, "01.0001", 3)])
+    write(root, 2016, "a.csv", [row(9, "01.0001", 3)])
+    assert units() == {(2015, 1), (2015, 2), (2016, 9)}
+    write(root, 2015, "c.csv", [row(3, "01.0001", 3)])
+    assert units() == {(2015, 1), (2015, 2), (2015, 3), (2016, 9)}
+
+
+def test_mixed_layouts(spark):
+    """Columns by name, not by position; each layout with its own code set."""
+    from equiscope.operators.reshape import PRE_1995_GENDERONLY_CODES, PRE_2010_CODES
+    from equiscope.plans.yearly import read_completions
+
+    root = tempfile.mkdtemp(prefix="eqs-mixed-")
+    empty = spark.createDataFrame([], "origin_code string, dest_code string")
+    hops = [X.Hop(1984, 2019, empty, spark.createDataFrame([], "code string, title string"))]
+    lookup = X.taxonomy_lookup(spark.createDataFrame(
+        [], "code string, title string, ncses_sci_group string, ncses_field_group string, ncses_detailed_field_group string"))
+    stem = spark.createDataFrame([("01.0002",)], "code string")
+
+    def put(year, header, *rows):
+        os.makedirs(f"{root}/{year}")
+        with open(f"{root}/{year}/c.csv", "w") as fh:
+            fh.write("\n".join(",".join(map(str, r)) for r in [header, *rows]) + "\n")
+
+    old, post = list(PRE_2010_CODES), list(POST_2010_CODES)
+    put(1990, ["UNITID", "CIPCODE", "AWLEVEL", *PRE_1995_GENDERONLY_CODES, "CRACE24"], [1, "01.0001", 5, 7, 0, 99])
+    put(2005, ["unitid", "cipcode", "majornum", "awlevel", *old, "crace24"], [2, "02.0202", 1, 5, *range(1, 15), 105])
+    put(2015, ["awlevel", "unitid", *post[::-1], "majornum", "cipcode"], [7, 3, *range(1, 19), 2, "03.0303"])
+    got = {(r.year, r.unitid, r.cipcode, r.awlevel, r.majornum, r.race_ethnicity, r.gender, r.n_awards)
+           for r in read_completions(spark, root, hops, lookup, stem).collect()}
+    expected = {(1990, 1, "01.0001", "Bachelor's degree", 1, *[x.value for x in PRE_1995_GENDERONLY_CODES["crace15"]], 7)}
+    expected |= {(2005, 2, "02.0202", "Bachelor's degree", 1, r.value, g.value, i) for i, (r, g) in enumerate(PRE_2010_CODES.values(), 1)}
+    expected |= {(2015, 3, "03.0303", "Master's degree", 2, *[x.value for x in POST_2010_CODES[c]], i) for i, c in enumerate(post[::-1], 1)}
+    assert got == expected
