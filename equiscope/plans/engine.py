@@ -1,7 +1,8 @@
 """Public query API: four representation queries over an award fact.
 
-Every method returns a lazy DataFrame; nothing is collected except the
-optional roll-up value check (bounded by the caller's list).  Results are
+Every method returns a lazy DataFrame; nothing runs before the result is
+asked for, except the optional roll-up value check (bounded by the caller's
+list).  Results are
 not sorted unless ``sort=True`` (a global sort is a full shuffle; the keys
 are the leading columns either way).
 """
@@ -56,29 +57,41 @@ class QueryEngine:
     def __init__(self, spark: SparkSession, tables: dict[str, DataFrame]):
         self.spark = spark
         self.tables = dict(tables)
-        for name, df in self.tables.items():
-            df.createOrReplaceTempView(name)
 
     def get_df_from_query(
         self, query: str, query_params: dict[str, Any] | None = None, show_query: bool = False
     ) -> DataFrame:
         """Run Spark SQL with optional named parameters (``:name``); list
-        parameters become array literals, e.g. ``array_contains(:xs, col)``."""
+        parameters become array literals, e.g. ``array_contains(:xs, col)``.
+
+        Table names mean this engine's tables: they are views only while the
+        statement is analysed, and views of the same names that the session
+        had before are put back."""
         if show_query:
-            print(f"Query: {query}, Params: {query_params}")
+            print("SQL:", query, "with", query_params or "no parameters")
         args = None
         if query_params:
             args = {
                 k: (F.array(*[F.lit(x) for x in v]) if isinstance(v, (list, tuple)) else v)
                 for k, v in query_params.items()
             }
-        return self.spark.sql(query, args=args)
+        catalog = self.spark.catalog
+        before = {n: self.spark.table(n) for n in self.tables if catalog.tableExists(n)}
+        try:
+            for name, df in self.tables.items():
+                df.createOrReplaceTempView(name)
+            return self.spark.sql(query, args=args)
+        finally:
+            for name in self.tables:
+                catalog.dropTempView(name)
+            for name, df in before.items():
+                df.createOrReplaceTempView(name)
 
     def list_tables(self) -> list[str]:
         return sorted(self.tables)
 
     def get_cip_table(self) -> DataFrame:
-        return self.tables[CIP_TABLE]
+        return order_by_keys(self.tables[CIP_TABLE], ["cip2020"])
 
     def get_institutions_table(self, cols: str | Sequence[str] | None = None) -> DataFrame:
         inst = self.tables[INSTITUTIONS_TABLE]
@@ -87,7 +100,7 @@ class QueryEngine:
         cols = [cols] if isinstance(cols, str) else list(cols)
         bad = [c for c in cols if c not in inst.columns]
         if bad:
-            raise ValueError(f"Invalid column name(s) provided: {bad}")
+            raise ValueError(f"the institutions table has no column {", ".join(map(str, bad))}")
         return inst.select("unitid", *[c for c in cols if c != "unitid"])
 
 
@@ -109,7 +122,6 @@ class CompletionsEngine(QueryEngine):
         spark: SparkSession,
         fact: DataFrame,
         institutions: DataFrame | None = None,
-        median_strategy: str = "auto",
         check_values: bool = True,
         cip_info: DataFrame | None = None,
     ):
@@ -119,7 +131,6 @@ class CompletionsEngine(QueryEngine):
         super().__init__(spark, tables)
         self.fact = fact
         self.institutions = institutions
-        self.median_strategy = median_strategy
         self.check_values = check_values
 
     # -- helpers -----------------------------------------------------------
@@ -280,5 +291,5 @@ class CompletionsEngine(QueryEngine):
         sub, base = self._rates(agg_type, grouping)
         df = with_rel_rate(df, sub, base)
         if effect_size:
-            df = with_effect_size(df, sub, base, keys[1:], self.median_strategy)
+            df = with_effect_size(df, sub, base, keys[1:])
         return df
