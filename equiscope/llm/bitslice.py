@@ -40,7 +40,7 @@ K = 10
 SCALE = 1024
 QUERY_EVERY = 100
 #: Rows per candidate block and queries per query block.
-BLOCK_ROWS = 8192
+BLOCK_ROWS = 16384
 QUERY_ROWS = 128
 #: Largest magnitude of a quantised component: scores stay within 64 bits.
 LIMIT = 1 << 24
