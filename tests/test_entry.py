@@ -28,7 +28,8 @@ def test_entry(spark):
 def test_every_query_has_oracle_or_is_listed():
     q, o = E.queries(), E.oracle_sql()
     assert set(o) <= set(q)
-    assert set(q) == set(o)
+    free = set(E.llm.QUERIES) if E.llm else set()  # those have tests of their own
+    assert set(q) - free == set(o) - free
 
 
 @pytest.fixture(scope="module")
@@ -39,7 +40,7 @@ def duck():
     return con
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(E.oracle_sql()))
 def test_oracle_small(spark, duck, name):
     sdf = E.queries()[name](spark, SF)
     s_rows = sorted("|".join(norm(r[c]) for c in sorted(sdf.columns)) for r in sdf.collect())
