@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from equiscope.functions.rates import safe_div
@@ -65,9 +65,19 @@ def top_codes(df: DataFrame, k: int = 10, code: str = "cip2020") -> DataFrame:
 
 def enum_domain(df: DataFrame, col: str) -> DataFrame:
     """Sorted distinct domain of a column with its size on every row."""
-    dom = df.select(col).distinct()
-    size = dom.agg(F.count(F.lit(1))).scalar()
-    return dom.withColumn("domain_size", size).orderBy(F.col(col).asc_nulls_last())
+    size = F.count(F.lit(1)).over(Window.partitionBy(F.lit(0)))  # over the domain, a vocabulary
+    return df.select(col).distinct().withColumn("domain_size", size).orderBy(F.col(col).asc_nulls_last())
+
+
+def enum_domains(df: DataFrame, domains: dict[str, list[str]]) -> DataFrame:
+    """(domain, value, domain_size) of several domains in one pass over the
+    data; a domain is the union of its columns' values that are not NULL."""
+    pairs = [
+        F.struct(F.lit(name).alias("domain"), F.col(c).cast("string").alias("value"))
+        for name, columns in domains.items() for c in columns
+    ]
+    seen = df.select(F.explode(F.array(*pairs)).alias("p")).select("p.*").filter("value is not null").distinct()
+    return seen.withColumn("domain_size", F.count(F.lit(1)).over(Window.partitionBy("domain")))
 
 
 def shared_domain(df: DataFrame, cols: list[str], out: str = "code") -> DataFrame:

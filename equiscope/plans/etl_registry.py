@@ -774,8 +774,7 @@ ORACLE["median_rel_rate_aggregate"] = ORACLE["median_rel_rate"].replace(
     "(min(rel_rate) + max(rel_rate)) / 2e0 AS median_rel_rate", "round((min(rel_rate) + max(rel_rate)) / 2e0, 9) + 0e0 AS median_rel_rate")
 
 
-def _read_year_sql() -> str:
-    wide = _wide_sql(RAW_YEAR_LONG_SQL)
+def _read_year_sql(wide: list[tuple[str, str]]) -> str:
     ctes = wide + [
         ("t1", f"SELECT unitid, {_norm_code_sql('cipcode', 'year')} AS cipcode, {_award_sql('awlevel')} AS awlevel, "
                "majornum, year, race_ethnicity, gender, n_awards FROM tidy"),
@@ -797,7 +796,80 @@ def _read_year_sql() -> str:
     return O.with_cte(*ctes) + "\n" + final
 
 
-ORACLE["read_year"] = _read_year_sql()
+ORACLE["read_year"] = _read_year_sql(_wide_sql(RAW_YEAR_LONG_SQL))
+
+
+# ---------------------------------------------------------------------------
+# yearly files of the four layouts, through CSV files
+
+#: Layout by survey year, with the order of its columns in the files.
+LAYOUTS = [S.PRE_1995_GENDERONLY_CODES, S.PRE_2010_CODES, S.INTERIM_CODES, S.POST_2010_CODES]
+LAYOUT_SQL = f"""SELECT unitid, cipcode, awlevel, CASE WHEN layout = 0 THEN 1 ELSE majornum END AS majornum, year, layout,
+  CAST(k % (CASE layout {" ".join(f"WHEN {i} THEN {len(c)}" for i, c in enumerate(LAYOUTS))} END) AS INTEGER) AS k, n_awards
+FROM (SELECT *, CASE WHEN year < 1995 THEN 0 WHEN year < 2008 THEN 1 WHEN year < 2011 THEN 2 ELSE 3 END AS layout FROM (
+{RAW_YEAR_LONG_SQL.replace("code, n_awards", "code, n_awards, k").replace("AS BIGINT) AS n_awards", "AS BIGINT) AS n_awards, l_partkey + l_linenumber AS k")}
+) rr) ll"""
+
+
+def _layout_wide_sql() -> list[tuple[str, str]]:
+    codes = ", ".join(
+        f"({i}, {k}, {O.q(r.value)}, {O.q(g.value)})" for i, c in enumerate(LAYOUTS) for k, (r, g) in enumerate(c.values())
+    )
+    ids = ", ".join(IDS)
+    return [
+        ("long", LAYOUT_SQL),
+        ("sums", f"SELECT {ids}, layout, k, CAST(sum(n_awards) % 7 AS VARCHAR) AS v FROM long GROUP BY ALL"),
+        ("ids", f"SELECT DISTINCT {ids}, layout FROM long"),
+        ("codes", f"SELECT * FROM (VALUES {codes}) t(layout, k, race_ethnicity, gender)"),
+        ("tidy", f"SELECT {ids}, layout, race_ethnicity, gender, v AS n_awards FROM ids JOIN codes USING (layout) "
+                 f"LEFT JOIN sums USING ({ids}, layout, k) WHERE v IS DISTINCT FROM '0'"),
+    ]
+
+
+def layout_wide(spark, sf_dir, layout: int) -> DataFrame:
+    """Binding: the wide rows of one layout, one text column per code."""
+    codes = list(LAYOUTS[layout])
+    long = B.sql_df(spark, sf_dir, LAYOUT_SQL, FACT4).filter(F.col("layout") == layout)
+    named = long.withColumn("code", F.get(F.array(*[F.lit(c) for c in codes]), F.col("k")))
+    w = named.groupBy(*IDS).pivot("code", codes).agg(F.sum("n_awards"))
+    return w.withColumns({c: (F.col(c) % 7).cast("string") for c in codes})
+
+
+def _unpivot_layout(i: int):
+    def fn(spark, sf_dir):
+        return S.filter_zero(S.unpivot_groups(layout_wide(spark, sf_dir, i), IDS))
+
+    fn.__doc__ = f"Code set {i}, chosen from the column names."
+    return fn
+
+
+for _i, _name in enumerate(["gender_only", "pre_2010", "interim", "post_2010"]):
+    reg(f"unpivot_groups_{_name}", O.with_cte(*_layout_wide_sql()) + f"""
+SELECT {", ".join(IDS)}, race_ethnicity, gender, n_awards FROM tidy WHERE layout = {_i}""")(_unpivot_layout(_i))
+
+
+@reg("default_majornum", O.with_cte(*_layout_wide_sql()) + """
+SELECT unitid, cipcode, awlevel, year, CAST(1 AS INTEGER) AS majornum FROM ids WHERE layout = 0""")
+def q_default_majornum(spark, sf_dir):
+    wide = layout_wide(spark, sf_dir, 0).drop("majornum")
+    return S.default_majornum(wide).select("unitid", "cipcode", "awlevel", "year", "majornum")
+
+
+@reg("read_completions", _read_year_sql(_layout_wide_sql()))
+def q_read_completions(spark, sf_dir):
+    """All four layouts as CSV files, each with its own columns in its own
+    order, some with columns that are not known, read back in one call."""
+    from equiscope.plans.yearly import read_completions
+
+    root = FS.scratch_path(spark, "layouts")
+    for i in range(len(LAYOUTS)):
+        w = layout_wide(spark, sf_dir, i)
+        known = [c.upper() if i % 2 else c for c in w.columns if c not in ("year", *(["majornum"] if i == 0 else []))]
+        shift = 3 * i % len(known)
+        order = [*known[shift:], *known[:shift]][:: -1 if i % 2 else 1]
+        w = w.select(*order, F.lit("7").alias("CRACE24"), "year")
+        w.write.mode("append").partitionBy("year").option("header", True).csv(root)
+    return read_completions(spark, root, hops(spark, sf_dir), taxonomy(spark, sf_dir), B.sql_df(spark, sf_dir, B.STEM_SQL, PART))
 
 
 INST_MERGE_SQL = O.with_cte(("ev", B.EVENT_ATTRS_SQL)) + f"""
@@ -836,3 +908,90 @@ def q_stream_ingest_years(spark, sf_dir):
         "cip_title", "ncses_sci_group", "ncses_field_group", "ncses_detailed_field_group", "nsf_broad_field",
         "dhs_stem",
     )
+
+
+# ---------------------------------------------------------------------------
+# dictionaries, institution files, enum domains
+
+
+@reg("scan_dictionary", """SELECT 'N' || CAST(n_regionkey AS VARCHAR) AS varname, CAST(n_nationkey AS VARCHAR) AS codevalue,
+  n_name AS valuelabel FROM nation""")
+def q_scan_dictionary(spark, sf_dir):
+    path = FS.scratch_path(spark, "dictionary")
+    n = read_table(spark, sf_dir, "nation").select(
+        F.concat(F.lit("N"), F.col("n_regionkey").cast("string")).alias("VarName"),
+        F.col("n_nationkey").cast("string").alias("CODEVALUE"), F.col("n_name").alias("valuelabel"))
+    n.write.option("header", True).csv(path)
+    return FS.read_lookup_csv(spark, path)
+
+
+# one row per unit and vintage; the label of a code depends on the vintage
+VINTAGES_SQL = """SELECT unitid, vintage, max(instnm) AS instnm, max(region) AS region, max(city) AS city FROM (
+  SELECT user_id AS unitid, 2000 + CAST(event_id % 6 AS INTEGER) AS vintage,
+    CASE WHEN event_type = 'signup' THEN 'Institute of Technology ' || CAST(event_id % 97 AS STRING)
+         WHEN event_type = 'purchase' THEN 'Health Science Center ' || CAST(event_id % 89 AS STRING) END AS instnm,
+    CAST(event_id % 7 AS STRING) AS region, CASE WHEN event_id % 6 < 3 THEN event_type END AS city
+  FROM {events}) e GROUP BY unitid, vintage"""
+
+
+@reg("institutions_pipeline", O.with_cte(("v", VINTAGES_SQL)) + """
+, d AS (SELECT r_regionkey, r_name, y.vintage FROM region, (SELECT unnest([2000, 2001, 2002, 2003, 2004]) AS vintage) y),
+l AS (SELECT v.*, CASE WHEN v.vintage = 2005 THEN v.region WHEN d.r_name IS NULL THEN NULL
+    WHEN v.vintage < 2003 THEN d.r_name ELSE d.r_name || ' ' || v.vintage END AS label
+  FROM v LEFT JOIN d ON v.region = CAST(d.r_regionkey AS VARCHAR) AND v.vintage = d.vintage),
+m AS (SELECT unitid, arg_max(instnm, vintage) FILTER (WHERE instnm IS NOT NULL) AS institution_name,
+  arg_max(label, vintage) FILTER (WHERE label IS NOT NULL) AS region_of_the_unit,
+  arg_max(city, vintage) FILTER (WHERE city IS NOT NULL) AS city_name, CAST(max(vintage) AS INTEGER) AS metadata_vintage,
+  arg_max(CASE WHEN instnm IS NOT NULL THEN regexp_matches(instnm, '%s') END, vintage) FILTER (WHERE instnm IS NOT NULL) AS tech_school,
+  arg_max(CASE WHEN instnm IS NOT NULL THEN regexp_matches(instnm, '%s') END, vintage) FILTER (WHERE instnm IS NOT NULL) AS health_school
+  FROM l GROUP BY unitid)
+SELECT * FROM m""" % (I.TECH_PATTERN, I.HEALTH_PATTERN))
+def q_institutions_pipeline(spark, sf_dir):
+    """Vintage files of two layouts, a dictionary per vintage (of several
+    entries the last wins; 2005 has none), titles by vintage."""
+    from equiscope.plans.yearly import read_institutions
+
+    root = FS.scratch_path(spark, "vintages")
+    v = B.sql_df(spark, sf_dir, VINTAGES_SQL, ["events"]).select(
+        F.col("unitid").alias("UNITID"), F.col("instnm").alias("INSTNM"), F.col("region").alias("OBEREG"), F.col("city").alias("CITY"), "vintage")
+    old = v.filter("vintage < 2003").repartition("vintage")
+    new = v.filter("vintage >= 2003").select("OBEREG", "INSTNM", "UNITID", "vintage").repartition("vintage")
+    for part in (old, new):
+        part.write.mode("append").partitionBy("vintage").option("header", True).option("encoding", "ISO-8859-1").csv(root)
+    years = F.explode(F.array(*[F.lit(y) for y in range(2000, 2005)]))
+    d = read_table(spark, sf_dir, "region").select("r_regionkey", "r_name", years.alias("metadata_vintage"))
+    label = F.when(F.col("metadata_vintage") < 2003, F.col("r_name")).otherwise(F.concat("r_name", F.lit(" "), "metadata_vintage"))
+    entry = [F.lit("OBEREG").alias("varname"), F.col("r_regionkey").cast("string").alias("codevalue")]
+    d = d.select(*entry, F.lit("superseded").alias("valuelabel"), "metadata_vintage", F.lit(0).alias("pos")).union(
+        d.select(*entry, F.concat(label, F.lit(".")), "metadata_vintage", F.lit(1)))
+    names = spark.createDataFrame(
+        [("OBEREG", "Old title", 2000), ("OBEREG", "Region of the unit", 2004), ("OBEREG", None, 2005), ("CITY", "City (name)", 2002)],
+        "original_colname string, mapped_colname string, metadata_vintage int")
+    return read_institutions(spark, root, d, names)
+
+
+ENUM_COLUMNS = ["awlevel", "race_ethnicity", "gender", "ncses_sci_group", "ncses_field_group", "ncses_detailed_field_group",
+                "nsf_broad_field", "cip_title"]
+
+
+@reg("enum_domains_all", FACT_CTE + f"""
+, u AS ({" UNION ALL ".join(f"SELECT '{c}' AS domain, {c} AS value FROM fact" for c in ENUM_COLUMNS)}
+  UNION ALL SELECT 'code', cipcode FROM fact UNION ALL SELECT 'code', cip2020 FROM fact)
+SELECT domain, value, count(*) OVER (PARTITION BY domain) AS domain_size FROM (SELECT DISTINCT domain, value FROM u WHERE value IS NOT NULL)""")
+def q_enum_domains_all(spark, sf_dir):
+    return P.enum_domains(completions_fact(spark, sf_dir), {**{c: [c] for c in ENUM_COLUMNS}, "code": ["cipcode", "cip2020"]})
+
+
+@reg("filter_base_nulls", FACT_CTE + """
+, f AS (SELECT *, CASE WHEN unitid % 5 = 0 THEN NULL ELSE race_ethnicity END AS r, CASE WHEN unitid % 7 = 0 THEN 'no such level' ELSE awlevel END AS a FROM fact)
+SELECT r AS race_ethnicity, gender, CAST(sum(n_awards) AS BIGINT) AS n FROM f WHERE r IS NOT NULL AND a IN ('1-URGENT', '2-HIGH', '5-LOW')
+  AND majornum IN (1, 2) AND year BETWEEN 1984 AND 2024 GROUP BY r, gender""")
+def q_filter_base_nulls(spark, sf_dir):
+    from equiscope.operators.filters import QueryFilters, apply_filters
+
+    fact = completions_fact(spark, sf_dir).withColumns({
+        "race_ethnicity": F.when(F.col("unitid") % 5 != 0, F.col("race_ethnicity")),
+        "awlevel": F.when(F.col("unitid") % 7 == 0, "no such level").otherwise(F.col("awlevel")),
+    })
+    kept = apply_filters(fact, QueryFilters(strict=False, award_levels=["1-URGENT", "2-HIGH", "5-LOW"]))
+    return kept.groupBy("race_ethnicity", "gender").agg(F.sum("n_awards").cast("long").alias("n"))

@@ -130,6 +130,10 @@ def read_prefer_revised(spark: SparkSession, root: str) -> DataFrame:
     return out
 
 
+#: Folder of a vintage: ``2015`` or ``name=2015``.
+VINTAGE = r"/(?:\w+=)?(\d{4})/[^/]*$"
+
+
 def vintage_frames(spark: SparkSession, pattern: str, encoding: str = "ISO-8859-1") -> list[DataFrame]:
     """One DataFrame per different header of ``<vintage>/<one file>.csv``, all
     strings, with ``metadata_vintage`` from the path.  A vintage with more than
@@ -137,7 +141,7 @@ def vintage_frames(spark: SparkSession, pattern: str, encoding: str = "ISO-8859-
     headers = file_headers(spark, pattern, encoding)
     by_vintage: dict[str, list[str]] = {}
     for p, _ in headers:
-        found = re.search(r"/(\d{4})/[^/]*$", p)
+        found = re.search(VINTAGE, p)
         if not found:
             raise ValueError(f"no vintage in path {p}")
         by_vintage.setdefault(found[1], []).append(p)
@@ -150,7 +154,7 @@ def vintage_frames(spark: SparkSession, pattern: str, encoding: str = "ISO-8859-
     frames = []
     for header in sorted(layouts):
         raw = spark.read.option("header", True).option("encoding", encoding).csv(layouts[header])
-        frames.append(vintage_from_path(raw, "metadata_vintage", r"/(\d{4})/[^/]*$"))
+        frames.append(vintage_from_path(raw, "metadata_vintage", VINTAGE))
     return frames
 
 
