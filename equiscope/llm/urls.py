@@ -114,7 +114,8 @@ def _posteriors(nodes: DataFrame, parents: DataFrame | None, key: str, parent: s
     if parents is None:
         a, b = F.col("k") + 1.0, F.col("n") - F.col("k") + 1.0
         return nodes.select(key, "n", a.alias("a"), b.alias("b"), (a / (a + b)).alias("mean"))
-    with_m = nodes.join(parents.select(F.col(parent), F.col("mean").alias("m")), parent)
+    means = parents.select(F.col(parent), F.col("mean").alias("m"))
+    with_m = nodes.join(F.broadcast(means) if parent == "corpus" else means, parent)  # the corpus is one row
     n, k, m = F.col("n"), F.col("k"), F.col("m")
     spread = m * (1 - m)
     over = F.sum(F.pow(k - n * m, 2) - n * spread)
@@ -161,7 +162,8 @@ def judge(pages: DataFrame, outcomes: DataFrame, rules: list[Rule], url: str = "
     found = names
     by = reputation(outcomes)
     for level in ("host", "domain", "suffix", "corpus"):
-        found = found.join(by[level].select(level, F.struct("a", "b", "n").alias(f"at_{level}")), level, "left")
+        at = by[level].select(level, F.struct("a", "b", "n").alias(f"at_{level}"))
+        found = found.join(F.broadcast(at) if level == "corpus" else at, level, "left")  # the corpus is one row
     best = F.coalesce("at_host", "at_domain", "at_suffix", "at_corpus")
     bounds = found.select("host", best.getField("n").alias("n_labelled"), lower_bound(best.getField("a"), best.getField("b")).alias("bad_bound"))
     ruled = out.withColumn("decides", deciding_rule(F.col("host"), F.col("path"), rules))
