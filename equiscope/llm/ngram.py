@@ -20,8 +20,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from equiscope.llm.rows import cut
-from equiscope.llm.text import U64, Texts, as_bytes, mix
+from equiscope.llm.rows import chunks
+from equiscope.llm.text import U64, Texts, mix
 
 SYMBOLS = 40
 ORDER = 4
@@ -72,9 +72,8 @@ def count_grams(docs: DataFrame, text: str = "text") -> DataFrame:
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(CELLS, np.int64)
         for batch in batches:
-            texts = as_bytes(batch.column(0))
-            for a, b in cut(texts):
-                total += np.bincount(Grams(texts[a:b]).packed, minlength=CELLS)
+            for _, _, texts in chunks(batch.column(0)):
+                total += np.bincount(Grams(texts).packed, minlength=CELLS)
         seen = np.flatnonzero(total)
         for at in range(0, len(seen), 100_000):
             part = seen[at : at + 100_000]

@@ -37,14 +37,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from equiscope.llm.rows import cut, cut_lineage, read
-from equiscope.llm.text import U64, as_bytes, mix, spans_hash, worker_cache
+from equiscope.llm.rows import chunks, cut_lineage, read
+from equiscope.llm.text import U64, mix, spans_hash, worker_cache
 
 CAPACITY = 1024
 END_ID = 2
 VOCABULARY = "byte_bpe_50k"
 SPECIAL = "<|endoftext|>"
-CHUNK = 4 << 20
+CHUNK = 2 << 20
 
 
 class Tokens:
@@ -131,9 +131,8 @@ def pieces(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", capacity
     def run(batches):
         tokens, seen, task = Tokens.get(vocabulary), Counter(), TaskContext.get().partitionId()
         for batch in batches:
-            texts = as_bytes(batch.column(1))
-            for a, b in cut(texts, CHUNK):
-                rows, ids_of = [], tokens.encode([t or b"" for t in texts[a:b]])
+            for a, b, texts in chunks(batch.column(1), CHUNK):
+                rows, ids_of = [], tokens.encode([t or b"" for t in texts])
                 for i, ids in enumerate(ids_of):
                     ids = np.append(ids, np.uint32(END_ID)).astype("<u4")
                     start, first = 0, len(ids) % capacity or min(len(ids), capacity)

@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from equiscope.llm.rows import map_texts, read
-from equiscope.llm.text import U64, mix, powers, spans_hash, worker_cache
+from equiscope.llm.text import U64, inverse_powers, mix, powers, spans_hash, worker_cache
 
 MODEL = "piece_bpe_32k.model"
 MARK = "▁"
@@ -123,7 +123,7 @@ def viterbi(words: np.ndarray, p: Pieces) -> tuple[np.ndarray, np.ndarray]:
     n, length = words.shape
     sums = np.zeros((n, length + 1), U64)
     np.cumsum(_TABLE[words] * powers(_BASE, length), axis=1, out=sums[:, 1:])
-    undo = powers(_BASE, length, inverse=True)
+    undo = inverse_powers(_BASE, np.arange(length), length)
     best = np.full((n, length + 1), -np.inf, np.float32)
     best[:, 0] = 0
     back_id = np.full((n, length + 1), -1, np.int32)

@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,23 +34,25 @@ def map_texts(
         fn = start()
         for batch in batches:
             rows = batch.column(0)
-            texts = as_bytes(rows.field(inside) if inside is not None else batch.column(1))
-            for a, b in cut(texts):
-                found = fn(texts[a:b])
+            for a, b, texts in chunks(rows.field(inside) if inside is not None else batch.column(1)):
+                found = fn(texts)
                 arrays = [x if isinstance(x, pa.Array) else pa.array(x) for x in found.values()]
                 yield pa.RecordBatch.from_arrays([rows.slice(a, b - a), *arrays], names=["row", *found])
 
     return taken.mapInArrow(run, f"row {taken.schema['row'].dataType.simpleString()}, {fields}")
 
 
-def cut(texts: list[bytes | None], size: int = CHUNK_BYTES) -> Iterator[tuple[int, int]]:
-    """Bounds of chunks of about ``size`` bytes each."""
-    first = held = 0
-    for i, t in enumerate(texts):
-        held += len(t or b"") + 64
-        if held >= size or i + 1 == len(texts):
-            yield first, i + 1
-            first, held = i + 1, 0
+def chunks(column: pa.Array, size: int = CHUNK_BYTES) -> Iterator[tuple[int, int, list[bytes | None]]]:
+    """(from, to, texts) of about ``size`` bytes each; a longer text is a chunk
+    of its own.  Memory that Arrow holds but no longer needs is given back."""
+    held = np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64) + 64)
+    first = 0
+    while first < len(held):
+        done = held[first - 1] if first else 0
+        last = max(int(np.searchsorted(held, done + size, "right")), first + 1)
+        yield first, last, as_bytes(column.slice(first, last - first))
+        first = last
+    pa.default_memory_pool().release_unused()
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -70,7 +73,3 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     was computed."""
     shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
-
-
-def little_endian(x: np.ndarray) -> np.ndarray:
-    return np.ascontiguousarray(x, x.dtype.newbyteorder("<"))

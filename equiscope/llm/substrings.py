@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from equiscope.llm.rows import cut, read
+from equiscope.llm.rows import chunks, read
 from equiscope.llm.text import U64, Texts, as_bytes
 
 MIN_WORDS = 13
@@ -93,9 +93,9 @@ def _ids(column: pa.Array) -> np.ndarray:
 
 
 def _parts(table: pa.Table, min_words: int, seed_words: int) -> Iterable[tuple[int, int, Block]]:
-    texts, ids = as_bytes(table.column("text")), _ids(table.column("id").combine_chunks())
-    for a, b in cut(texts):
-        yield a, b, Block(texts[a:b], ids[a:b], min_words, seed_words)
+    ids = _ids(table.column("id").combine_chunks())
+    for a, b, texts in chunks(table.column("text").combine_chunks()):
+        yield a, b, Block(texts, ids[a:b], min_words, seed_words)
 
 
 def _cuts(keys: np.ndarray, buckets: int) -> np.ndarray:

@@ -17,7 +17,7 @@ import sys
 import numpy as np
 import pyarrow as pa
 
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
 
 _BYTES = np.arange(256)
 #: ``[\x20\x09-\x0D]``, the separators of all word contracts here.
@@ -46,18 +46,26 @@ def worker_cache() -> dict:
     return vars(sys).setdefault("_equiscope_llm_cache", {})
 
 
-def powers(base: int, n: int, inverse: bool = False) -> np.ndarray:
-    """``base**i`` modulo 2**64 for i < n (or of its inverse), kept for the
-    next call; ``base`` is odd."""
-    cache = worker_cache()
-    have = cache.get((base, inverse))
-    if have is None or len(have) < n:
-        step = pow(base, -1, 1 << 64) if inverse else base
-        with np.errstate(over="ignore"):
-            have = np.cumprod(np.concatenate([[U64(1)], np.full(max(n, 1 << 16), step, U64)]))
-        if n <= 4 * CHUNK_BYTES:  # tables of one very long text are not kept
-            cache[base, inverse] = have
-    return have[:n]
+_STEP = 1 << 11
+
+
+def _power_tables(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """``base**(i * _STEP)`` and ``base**i`` for i < _STEP, modulo 2**64."""
+    small = np.concatenate([[U64(1)], np.cumprod(np.full(_STEP - 1, base, U64))])
+    jump = pow(base, _STEP, 1 << 64)
+    return np.concatenate([[U64(1)], np.cumprod(np.full(n // _STEP, jump, U64))]), small
+
+
+def powers(base: int, n: int) -> np.ndarray:
+    """``base**i`` modulo 2**64 for i < n; ``base`` is odd."""
+    large, small = _power_tables(base, n)
+    return (large[:, None] * small[None, :]).ravel()[:n]
+
+
+def inverse_powers(base: int, at: np.ndarray, n: int) -> np.ndarray:
+    """``base**-i`` for the given i < n; no table of length n is kept."""
+    large, small = _power_tables(pow(base, -1, 1 << 64), n)
+    return large[at // _STEP] * small[at % _STEP]
 
 
 def spans_hash(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: int = _PRIME) -> np.ndarray:
@@ -67,7 +75,7 @@ def spans_hash(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: i
         return np.empty(0, U64)
     sums = np.zeros(len(values) + 1, U64)
     np.cumsum(values * powers(base, len(values)), out=sums[1:])
-    return mix((sums[ends] - sums[starts]) * powers(base, len(values), inverse=True)[starts])
+    return mix((sums[ends] - sums[starts]) * inverse_powers(base, starts, len(values) + 1))
 
 
 class Texts:
