@@ -135,7 +135,7 @@ def judge(scored: DataFrame, limits: DataFrame, lang: str = "lang") -> DataFrame
     """``scored`` with its band and ``kept``.  The bands are at most 18,253
     rows (see :func:`language`), hence the broadcast."""
     keyed = scored.withColumn("language", language(F.col("row").getField(lang)))
-    slack = F.lit(SHORT_SLACK) / F.sqrt(F.col("word_chars") + F.col("n_words"))
+    slack = F.lit(SHORT_SLACK) / F.sqrt(F.greatest(F.col("word_chars") + F.col("n_words"), F.lit(1)))
     inside = F.col("log_ppl").between(F.col("low") - slack, F.col("high") + slack)
     return keyed.join(F.broadcast(limits), "language", "left").withColumn(
         "kept", ~F.col("base_failed") & F.coalesce(inside, F.lit(False))

@@ -7,12 +7,19 @@ from collections.abc import Callable, Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from equiscope.llm.text import as_bytes, CHUNK_BYTES
 
 
+def row_struct(df: DataFrame, columns: list[str]) -> Column:
+    """``row``: the columns in a struct, all of them nullable, as Arrow
+    results are."""
+    row = F.struct(*[df[f"`{c}`"] for c in columns])
+    return row.cast(df.select(row.alias("row")).schema["row"].dataType.simpleString()).alias("row")
+
+
 def map_texts(
     docs: DataFrame,
     start: Callable[[], Callable[[list[bytes | None]], dict]],
@@ -27,7 +34,7 @@ def map_texts(
     texts of a chunk to arrays, in the order of ``fields``."""
     keep = docs.columns if keep is None else keep
     inside = keep.index(text) if text in keep else None
-    row = F.struct(*[docs[f"`{c}`"] for c in keep]).alias("row")
+    row = row_struct(docs, keep)
     taken = docs.select(row) if inside is not None else docs.select(row, docs[text].alias("text"))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from equiscope.llm.rows import chunks, read
+from equiscope.llm.rows import chunks, read, row_struct
 from equiscope.llm.text import U64, Texts, as_bytes
 
 MIN_WORDS = 13
@@ -101,14 +101,18 @@ def _parts(table: pa.Table, min_words: int, seed_words: int) -> Iterable[tuple[i
 def _cuts(keys: np.ndarray, buckets: int) -> np.ndarray:
     """Where each bucket of sorted keys begins: buckets are equal ranges of
     the (first) hash."""
-    first = keys.reshape(len(keys), -1)[:, 0]
+    first = _columns(keys)[:, 0]
     return np.searchsorted(((first >> U64(32)) * U64(buckets) >> U64(32)).astype(np.int64), np.arange(buckets + 1))
 
 
+def _columns(keys: np.ndarray) -> np.ndarray:
+    return keys if keys.ndim == 2 else keys[:, None]
+
+
 def _distinct(keys: np.ndarray, docs: np.ndarray | None = None):
     """Order of the keys (columns of 64 bits; ties by document), and where
     in that order a new key begins."""
-    columns = keys.reshape(len(keys), -1)
+    columns = _columns(keys)
     by = np.lexsort([*([] if docs is None else [docs]), *columns.T[::-1]])
     new = np.ones(len(keys), bool)
     new[1:] = (columns[by][1:] != columns[by][:-1]).any(axis=1)
@@ -309,7 +313,7 @@ def parse(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_words
     buckets = 1 + max(total // BUCKET_BYTES, min(tasks, total // LEAST_BYTES))
     keep = docs.columns if keep is None else keep
     blocks = docs.select(
-        F.struct(*[docs[f"`{c}`"] for c in keep if c != text]).alias("row"),
+        row_struct(docs, [c for c in keep if c != text]),
         docs[doc_id].alias("id"), docs[text].alias("text"),
         F.pmod(F.xxhash64(docs[doc_id], docs[text]), F.lit(n_blocks)).alias("block"),
     )

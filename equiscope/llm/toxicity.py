@@ -45,7 +45,8 @@ MIN_DOCS = 5
 MIN_TIE = 6.0
 LASSO = 1e-4
 ROUNDS = 500
-#: Documents at least this likely to be toxic at all are rejected.
+#: Documents at least this likely to be toxic at all are toxic, if their words
+#: speak for it (a score over 0; the thresholds alone condemn no text).
 REJECT_FROM = 0.5
 
 
@@ -165,7 +166,7 @@ def fit_ordinal(x: np.ndarray, grade: np.ndarray, n_grades: int, lasso: float =
 
 
 def severity(docs: DataFrame, model: OrdinalModel, text: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """(row, expected_severity, p_toxic)."""
+    """(row, expected_severity, p_toxic, toxic)."""
 
     def run(texts):
         bucket, of = features(texts)
@@ -173,20 +174,21 @@ def severity(docs: DataFrame, model: OrdinalModel, text: str = "text", keep: lis
         pairs = np.unique(of[hit] * BUCKETS + bucket[hit])
         score = np.bincount(pairs // BUCKETS, model.weights[pairs % BUCKETS], minlength=len(texts))
         above = model.exceed(score)
-        return {"expected_severity": above.sum(1), "p_toxic": above[:, 0]}
+        toxic = (above[:, 0] >= REJECT_FROM) & (score > 0)
+        return {"expected_severity": above.sum(1), "p_toxic": above[:, 0], "toxic": toxic}
 
-    return map_texts(docs, lambda: run, "expected_severity double, p_toxic double", text, keep)
+    return map_texts(docs, lambda: run, "expected_severity double, p_toxic double, toxic boolean", text, keep)
 
 
 def keep_clean(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The documents below ``REJECT_FROM``, with all their columns."""
+    """The documents that are not toxic, with all their columns."""
     model = fit(docs, labels, doc_id, text)
-    return severity(docs, model, text).filter(F.col("p_toxic") < REJECT_FROM).select("row.*")
+    return severity(docs, model, text).filter("not toxic").select("row.*")
 
 
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     model = fit(docs, read(spark, sf_dir, "labels"))
     return severity(docs, model, keep=["doc_id"]).select(
-        "row.doc_id", "expected_severity", "p_toxic", (F.col("p_toxic") >= REJECT_FROM).alias("toxic")
+        "row.doc_id", "expected_severity", "p_toxic", "toxic"
     )

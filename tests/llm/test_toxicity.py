@@ -54,7 +54,7 @@ def test_grades(spark):
 
 
 def test_odd_rows_and_columns(spark, docs_of):
-    rows = [(i, "bad" * (i % 2) + " plain words here") for i in range(40)] + [(90, None), (91, ""), (91, ""), (None, "bad")]
+    rows = [(i, "bad" * (i % 2) + f" plain words number{i} here") for i in range(40)] + [(90, None), (91, ""), (91, ""), (None, "bad")]
     docs = docs_of(rows).withColumns({"row": F.lit(1), "p_toxic": F.lit("x"), "id": F.lit(2), "grade": F.lit(3)})
     labels = spark.createDataFrame([(i, 1, i % 2) for i in range(40)], "doc_id long, quality int, toxic int")
     kept = keep_clean(docs, labels)
