@@ -35,14 +35,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from equiscope.llm.rows import map_texts, read
+from equiscope.llm.rows import map_texts, read, row_struct
 from equiscope.llm.text import U64, inverse_powers, mix, powers, spans_hash, worker_cache
 
 MODEL = "piece_bpe_32k.model"
 MARK = "▁"
 UNKNOWN_PENALTY = 10.0
 #: Different words kept per task; when there are more, the store starts anew.
-STORED_WORDS = 500_000
+STORED_WORDS = 300_000
 #: Words of one length that advance together.
 GROUP_ROWS = 20_000
 _BASE = 0x9E3779B97F4A7C15 | 1
@@ -238,37 +238,45 @@ class Encoder:
             self.pool = np.concatenate(pools)
 
 
-def encode(docs: DataFrame, text: str = "text", model: str | None = None, keep: list[str] | None = None) -> DataFrame:
-    """(row, ids array<int>); ``model`` is the path of a model file."""
+def encode(docs: DataFrame, text: str = "text", model: str | None = None, keep: list[str] | None = None,
+           decoded: bool = False) -> DataFrame:
+    """(row, ids array<int>[, decoded string]); ``model`` is the path of a
+    model file.  ``decoded`` adds the text that the ids decode to, in the same
+    pass (a second Python stage in the task would need workers of its own)."""
 
     def start():
-        encoder = Encoder(Pieces.get(model or _default()))
+        pieces = Pieces.get(model or _default())
+        encoder = Encoder(pieces)
 
         def run(texts):
             flat, bounds = encoder(texts)
-            nulls = pa.array([t is None for t in texts])
-            return {"ids": pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(flat), mask=nulls)}
+            null = [t is None for t in texts]
+            found = {"ids": pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(flat), mask=pa.array(null))}
+            if decoded:
+                found["decoded"] = _texts(pieces.decode(flat, bounds), null)
+            return found
 
         return run
 
-    return map_texts(docs, start, "ids array<int>", text, keep)
+    return map_texts(docs, start, "ids array<int>" + (", decoded string" if decoded else ""), text, keep)
+
+
+def _texts(raw: list[bytes], null: list[bool]) -> pa.Array:
+    return pa.array([None if skip else t.decode(errors="replace") for t, skip in zip(raw, null, strict=True)], pa.string())
 
 
 def decode(encoded: DataFrame, ids: str = "ids", model: str | None = None) -> DataFrame:
     """``encoded`` (in a struct ``row``) with ``decoded``, the text of its ids;
     null ids give null."""
-    row = F.struct(*[encoded[f"`{c}`"] for c in encoded.columns]).alias("row")
-    taken = encoded.select(row, encoded[ids].alias("ids"))
+    taken = encoded.select(row_struct(encoded, encoded.columns), encoded[ids].alias("ids"))
 
     def run(batches):
         pieces = Pieces.get(model or _default())
         for batch in batches:
             lists = batch.column(1)
             bounds = np.concatenate([[0], np.cumsum(np.diff(lists.offsets.to_numpy()))])
-            texts = pieces.decode(lists.flatten().to_numpy(), bounds)
-            null = lists.is_null().to_pylist()
-            out = [None if skip else t.decode(errors="replace") for t, skip in zip(texts, null, strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.string())], names=["row", "decoded"])
+            out = _texts(pieces.decode(lists.flatten().to_numpy(), bounds), lists.is_null().to_pylist())
+            yield pa.RecordBatch.from_arrays([batch.column(0), out], names=["row", "decoded"])
 
     return taken.mapInArrow(run, f"row {taken.schema['row'].dataType.simpleString()}, decoded string")
 
@@ -281,8 +289,6 @@ def _default() -> str:
 
 def op8_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every document, and the digest of the text decoded from them."""
-    coded = encode(read(spark, sf_dir, "documents"), keep=["doc_id"]).select("row.doc_id", "ids")
-    return decode(coded).select(
-        "row.doc_id", F.coalesce(F.size("row.ids"), F.lit(0)).cast("long").alias("n_ids"), "row.ids",
-        F.sha2("decoded", 256).alias("decoded_sha256"),
-    )
+    coded = encode(read(spark, sf_dir, "documents"), keep=["doc_id"], decoded=True)
+    n = F.when(F.col("ids").isNull(), 0).otherwise(F.size("ids")).cast("long")
+    return coded.select("row.doc_id", n.alias("n_ids"), "ids", F.sha2("decoded", 256).alias("decoded_sha256"))
