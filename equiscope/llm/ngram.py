@@ -8,7 +8,9 @@ entries however large the corpus is: that is the proven bound of what is
 collected and broadcast.  Counting reads every byte of every document;
 Spark adds up the partial counts.
 
-A text's first symbols are predicted from line feeds.
+A text's first symbols are predicted from line feeds.  The model gives the
+spelling of words under the word model (:mod:`wordgrams`), which grows with
+the corpus.
 """
 
 from __future__ import annotations
@@ -26,6 +28,8 @@ from equiscope.llm.text import U64, Texts, mix
 SYMBOLS = 40
 ORDER = 4
 CELLS = SYMBOLS**ORDER
+#: Log probabilities are added up in steps of ``1 / UNIT``.
+UNIT = 1 << 32
 
 
 def _classes() -> np.ndarray:
@@ -169,12 +173,19 @@ class Scorer:
         self.model = model
         self.known = np.full(CELLS, np.nan, np.float32)
 
-    def __call__(self, texts: list[bytes | None]) -> np.ndarray:
+    def per_byte(self, texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
+        """Log probability of every byte, and the bounds of the texts."""
         g = Grams(texts)
         got = self.known[g.packed]
         new = np.unique(g.packed[np.isnan(got)])
         if len(new):
             self.known[new] = self.model.log_p(new.astype(np.int64))
             got = self.known[g.packed]
-        sums = np.concatenate([[0.0], np.cumsum(got, dtype=np.float64)])
-        return -np.diff(sums[g.bounds]) / np.maximum(g.sizes, 1)
+        return got, g.bounds
+
+    def __call__(self, texts: list[bytes | None]) -> np.ndarray:
+        got, bounds = self.per_byte(texts)
+        # whole numbers add up to the same sum wherever the text stands in the chunk
+        sums = np.concatenate([[0], np.cumsum(np.rint(got.astype(np.float64) * UNIT).astype(np.int64))])
+        sizes = np.diff(bounds)
+        return np.where(sizes > 0, -np.diff(sums[bounds]) / UNIT, 0.0) / np.maximum(sizes, 1)

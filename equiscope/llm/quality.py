@@ -3,9 +3,13 @@
 Base counts take words ``[^\\x20\\x09-\\x0D]+`` of the whole text.  A document
 fails the base rules when it has fewer than 10 words, or when more than 20 %
 of its words lie in 5-word windows found twice or more in the text.  The
-others are judged by perplexity under a Kneser-Ney model that is counted
-over all documents (:mod:`ngram`): a language's band comes from the quartiles
-of its own documents' log perplexity, and documents outside it are rejected.
+others are judged by perplexity under two models that are counted over all documents:
+per byte under the Kneser-Ney spelling model (:mod:`ngram`), per word under
+the word model that grows with the corpus and holds the text itself out
+(:mod:`wordgrams`).  A language's bands come from the quartiles of its own
+documents' log perplexities, and documents outside them are rejected.  Near
+copies vouch for each other's words, and deduplication is not this module's
+task, so the word band has no lower limit.
 
 Defined results: a null text is an empty one (no words: base fails).  A null
 or malformed language code shares one band ("other").  Repeated rows are
@@ -20,7 +24,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from equiscope.llm import ngram
+from equiscope.llm import ngram, wordgrams
 from equiscope.llm.rows import cut_lineage, map_texts, read
 from equiscope.llm.text import U64, Texts, mix, per_text_sum, spans_hash
 
@@ -33,8 +37,14 @@ REPEAT_PERCENT = 20
 BAND_WIDTH = 2.0
 LEAST_SPREAD = 0.025
 SHORT_SLACK = 1.5
-#: Log perplexity is counted in steps of this size.
+#: Word band: above the upper quartile by so many distances from the median to
+#: it (at least LEAST_WORD_SPREAD) and by WORD_SLACK / sqrt(words).
+WORD_WIDTH = 4.0
+LEAST_WORD_SPREAD = 0.1
+WORD_SLACK = 6.0
+#: Log perplexities per byte and per word are counted in steps of these sizes.
 STEP = 0.005
+WORD_STEP = 0.02
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 SYMBOL_CHARS = b"#*$%&|<>"
@@ -90,8 +100,13 @@ def language(lang):
     return F.when(lang.rlike("^[a-z]{2,3}$"), lang).otherwise(F.lit("other"))
 
 
-def score(docs: DataFrame, model: ngram.KneserNey, text: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """(row struct of the kept columns, the counts, base_failed, log_ppl)."""
+def score(
+    docs: DataFrame, model: ngram.KneserNey, log_p: DataFrame, text: str = "text", keep: list[str] | None = None
+) -> DataFrame:
+    """(row struct of the kept columns, the text's key, the counts,
+    base_failed, log_ppl of the spelling per byte, word_ppl: log perplexity
+    per word); ``log_p`` is that of :func:`wordgrams.log_p`."""
+
     def start():
         scorer = ngram.Scorer(model)
 
@@ -105,29 +120,50 @@ def score(docs: DataFrame, model: ngram.KneserNey, text: str = "text", keep: lis
         return run
 
     fields = ", ".join(f"{c} long" for c in COUNTS)
-    return map_texts(docs, start, f"{fields}, base_failed boolean, log_ppl double", text, keep)
+    kept = docs.columns if keep is None else keep
+    held = docs.select(
+        F.struct(*[docs[f"`{c}`"] for c in kept]).alias("held"), wordgrams.text_key(docs[text]), docs[text].alias("text")
+    )
+    counted = map_texts(held, start, f"{fields}, base_failed boolean, log_ppl double", "text", ["held", wordgrams.KEY])
+    counted = counted.select("row.*", *COUNTS, "base_failed", "log_ppl").withColumnRenamed("held", "row")
+    per_word = -F.coalesce("log_p", F.lit(0)) / wordgrams.UNIT / F.greatest("n_words", F.lit(1))
+    return counted.join(log_p, wordgrams.KEY, "left").withColumn("word_ppl", per_word).drop("log_p")
 
 
 def bands(scored: DataFrame, lang: str = "lang") -> DataFrame:
-    """(language, low, high) from the documents that pass the base rules.
+    """(language, low, high, word_high) from the documents that pass the base
+    rules.
 
     Copies count once (equal perplexity and counts), so that a large group
-    of them does not set the band.  Log perplexities are counted in steps of
-    ``STEP``, so the quartiles come from a histogram: partial counts, one row
-    per language and step."""
+    of them does not set the band.  Log perplexities are counted in steps,
+    so the quartiles come from histograms: partial counts, one row per
+    language, model and step."""
     distinct = scored.filter("not base_failed").groupBy(
-        language(F.col("row").getField(lang)).alias("language"), "log_ppl", "word_chars", "n_words"
+        language(F.col("row").getField(lang)).alias("language"), "log_ppl", "word_ppl", "word_chars", "n_words"
     ).agg(F.lit(1).alias("n"))
-    steps = distinct.groupBy("language", F.round(F.col("log_ppl") / STEP).cast("int").alias("step")).agg(
-        F.count("n").alias("n")
+    values = [
+        F.struct(F.lit(of).alias("of"), F.round(F.col(of) / size).cast("long").alias("step"))
+        for of, size in (("log_ppl", STEP), ("word_ppl", WORD_STEP))
+    ]
+    steps = distinct.select("language", F.explode(F.array(*values)).alias("v")).groupBy("language", "v.of", "v.step").agg(
+        F.count(F.lit(1)).alias("n")
     )
-    w = Window.partitionBy("language")
+    w = Window.partitionBy("language", "of")
     upto = F.sum("n").over(w.orderBy("step"))
-    marked = steps.select("language", "step", upto.alias("upto"), F.sum("n").over(w).alias("all"))
-    q = [F.min(F.when(F.col("upto") >= F.col("all") * F.lit(x), F.col("step") * F.lit(STEP))).alias(f"q{i}") for i, x in ((1, 0.25), (3, 0.75))]
-    spread = F.greatest(F.col("q3") - F.col("q1"), F.lit(LEAST_SPREAD))
+    marked = steps.select("language", "of", "step", upto.alias("upto"), F.sum("n").over(w).alias("all"))
+
+    def quartile(of, size, i):
+        reached = (F.col("of") == of) & (F.col("upto") >= F.col("all") * F.lit(i / 4))
+        return F.min(F.when(reached, F.col("step") * F.lit(size))).alias(f"{of}_{i}")
+
+    q = [quartile("log_ppl", STEP, i) for i in (1, 3)] + [quartile("word_ppl", WORD_STEP, i) for i in (2, 3)]
+    spread = F.greatest(F.col("log_ppl_3") - F.col("log_ppl_1"), F.lit(LEAST_SPREAD))
+    word_spread = F.greatest(F.col("word_ppl_3") - F.col("word_ppl_2"), F.lit(LEAST_WORD_SPREAD))
     return marked.groupBy("language").agg(*q).select(
-        "language", (F.col("q1") - BAND_WIDTH * spread).alias("low"), (F.col("q3") + BAND_WIDTH * spread).alias("high")
+        "language",
+        (F.col("log_ppl_1") - BAND_WIDTH * spread).alias("low"),
+        (F.col("log_ppl_3") + BAND_WIDTH * spread).alias("high"),
+        (F.col("word_ppl_3") + WORD_WIDTH * word_spread).alias("word_high"),
     )
 
 
@@ -136,27 +172,31 @@ def judge(scored: DataFrame, limits: DataFrame, lang: str = "lang") -> DataFrame
     rows (see :func:`language`), hence the broadcast."""
     keyed = scored.withColumn("language", language(F.col("row").getField(lang)))
     slack = F.lit(SHORT_SLACK) / F.sqrt(F.greatest(F.col("word_chars") + F.col("n_words"), F.lit(1)))
+    word_slack = F.lit(WORD_SLACK) / F.sqrt(F.greatest(F.col("n_words"), F.lit(1)))
     inside = F.col("log_ppl").between(F.col("low") - slack, F.col("high") + slack)
+    inside = inside & (F.col("word_ppl") <= F.col("word_high") + word_slack)
     return keyed.join(F.broadcast(limits), "language", "left").withColumn(
         "kept", ~F.col("base_failed") & F.coalesce(inside, F.lit(False))
     )
 
 
 def quality_report(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
-    """Counts, log perplexity, band and verdict of every document."""
+    """Counts, log perplexities, bands and verdict of every document."""
     model = ngram.fit(docs, text)
-    scored = cut_lineage(score(docs, model, text, [doc_id, lang]))
+    scored = cut_lineage(score(docs, model, wordgrams.log_p(docs, model, text), text, [doc_id, lang]))
     return judge(scored, bands(scored, lang), lang).select(
-        F.col("row").getField(doc_id).alias("doc_id"), *COUNTS, "base_failed", "kept", "log_ppl", "low", "high"
-    )
+        F.col("row").getField(doc_id).alias("doc_id"),
+        *COUNTS, "base_failed", "kept", "log_ppl", "low", "high", "word_ppl", "word_high",
+    )
 
 
 def keep_good(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
     """The documents that pass, with all their columns."""
     model = ngram.fit(docs, text)
-    limits = cut_lineage(bands(score(docs, model, text, [lang]), lang))
-    return judge(score(docs, model, text), limits, lang).filter("kept").select("row.*")
+    log_p = cut_lineage(wordgrams.log_p(docs, model, text))
+    limits = cut_lineage(bands(score(docs, model, log_p, text, [lang]), lang))
+    return judge(score(docs, model, log_p, text), limits, lang).filter("kept").select("row.*")
 
 
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality_report(read(spark, sf_dir, "documents")).drop("low", "high", "log_ppl")
+    return quality_report(read(spark, sf_dir, "documents")).drop("low", "high", "log_ppl", "word_ppl", "word_high")

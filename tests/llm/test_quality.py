@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from equiscope.llm import ngram, quality
+from equiscope.llm import ngram, quality, wordgrams
 from equiscope.llm.quality import base_counts, keep_good, op3_quality, quality_report
 
 SPACES = r"[\x20\x09-\x0d]+"
@@ -147,3 +147,65 @@ def test_odd_rows_and_columns(spark, docs_of):
     clashing = docs_of(rows).withColumns({"row": F.lit(1), "kept": F.lit("x"), "n_words": F.lit(2), "language": F.lit(3)})
     good = keep_good(clashing)
     assert good.columns == clashing.columns and good.collect() is not None
+
+
+def plain_word_log_p(model, texts):
+    """The word model from dictionaries; a text's own counts and its copies' are held out."""
+    def grams(text):
+        words, sums = [], {}
+        for m in re.finditer(r"[^\x20\x09-\x0d]+", text):
+            words.append((m.group(), m.start()))
+        per_byte = ngram.Scorer(model).per_byte([text.encode()])[0].astype(float)
+        upto = [len(text[:at].encode()) for _, at in words] + [len(text.encode())]
+        upto[0] = 0
+        for i, (word, _) in enumerate(words):
+            sums.setdefault((words[i - 1][0] if i else None, word), []).append(per_byte[upto[i] : upto[i + 1]].sum())
+        return sums
+
+    held = [grams(t) for t in texts]
+    pairs, contexts = Counter(), Counter()
+    for g in held:
+        for (v, w), s in g.items():
+            pairs[v, w] += len(s)
+            contexts[v] += len(s)
+    out = {}
+    for text, g in zip(texts, held):
+        copies, own = texts.count(text), Counter()
+        for (v, _), s in g.items():
+            own[v] += len(s)
+        out[text] = sum(
+            len(s) * math.log((pairs[v, w] - copies * len(s) + wordgrams.MU * math.exp(sum(s) / len(s)))
+                            / (contexts[v] - copies * own[v] + wordgrams.MU))
+            for (v, w), s in g.items()
+        )
+    return out
+
+
+def test_word_model_against_plain_version(spark, docs_of, monkeypatch):
+    r = random.Random(3)
+    texts = [" ".join(r.choices(["the", "cat", "Ж中", "sat", "on", "MAT", "mat", "  x\n"], k=r.randrange(1, 25))) for _ in range(40)]
+    docs = docs_of([(i, t) for i, t in enumerate([*texts, *texts[:5], None, "", " \n"])])
+    model = ngram.fit(docs)
+    expected = plain_word_log_p(model, [*texts, *texts[:5]])
+    for size in (1 << 20, 50):  # the number of ranges does not matter
+        monkeypatch.setattr(wordgrams, "RANGE_BYTES", size)
+        keyed = docs.select("text", wordgrams.text_key(F.col("text"))).distinct()
+        got = {x.text: x.log_p / wordgrams.UNIT for x in keyed.join(wordgrams.log_p(docs, model), wordgrams.KEY).collect()}
+        assert got == pytest.approx(expected, rel=1e-3)
+
+
+def test_shuffled_words_are_told_from_text(spark, docs_of):
+    """Same letters, same words, other order; in scripts whose bytes the spelling model folds."""
+    r = random.Random(9)
+    vocabulary = ["".join(r.choices("абвгдежзиклмнопрст", k=6)) for _ in range(400)]
+    after = {w: r.sample(vocabulary, 3) for w in vocabulary}
+    texts = []
+    for _ in range(300):
+        words = [r.choice(vocabulary)]
+        while len(words) < 120:
+            words.append(r.choice(after[words[-1]]))
+        texts.append(words)
+    rows = [(i, " ".join(w), "ru") for i, w in enumerate(texts)]
+    rows += [(1000 + i, " ".join(r.sample(w, len(w))), "ru") for i, w in enumerate(texts[:20])]
+    kept = {x.doc_id for x in quality_report(docs_of(rows)).filter("kept").collect()}
+    assert not any(i >= 1000 for i in kept) and len(kept) >= 294
