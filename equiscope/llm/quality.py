@@ -52,7 +52,8 @@ _SYMBOL = np.isin(np.arange(256), list(SYMBOL_CHARS))
 
 
 def base_counts(texts: list[bytes | None]) -> dict[str, np.ndarray]:
-    """The five counts of every text."""
+    """The five counts of every text, and its sketch: the least hash of its
+    5-word windows, which copies share and near copies mostly share."""
     x = Texts(texts)
     text_bounds = np.append(x.text_starts, len(x.buf))
     in_word = np.zeros(len(x.buf) + 1, np.int8)
@@ -72,7 +73,12 @@ def base_counts(texts: list[bytes | None]) -> dict[str, np.ndarray]:
     dup_lines = np.bincount(line_text, minlength=x.n) - np.bincount(line_text[kept], minlength=x.n)
 
     at = x.windows(REPEAT_WINDOW)
-    keys = _within(x.window_hashes(x.word_hashes(), at, REPEAT_WINDOW), of[at])
+    windows = x.window_hashes(x.word_hashes(), at, REPEAT_WINDOW)
+    sketch = np.zeros(x.n, U64)
+    if len(at):
+        first = np.flatnonzero(np.diff(of[at], prepend=-1))
+        sketch[of[at][first]] = np.minimum.reduceat(windows, first)
+    keys = _within(windows, of[at])
     ordered = np.sort(keys)
     again = ordered[1:][ordered[1:] == ordered[:-1]]
     at = at[np.isin(keys, again)] if len(again) else at[:0]
@@ -86,6 +92,7 @@ def base_counts(texts: list[bytes | None]) -> dict[str, np.ndarray]:
         "n_symbols": per_text_sum(_SYMBOL[x.buf].astype(np.int64), text_bounds),
         "n_dup_lines": dup_lines.astype(np.int64),
         "n_repeat_words": per_text_sum(repeated, x.bounds),
+        "sketch": sketch.view(np.int64),
     }
 
 
@@ -124,8 +131,8 @@ def score(
     held = docs.select(
         F.struct(*[docs[f"`{c}`"] for c in kept]).alias("held"), wordgrams.text_key(docs[text]), docs[text].alias("text")
     )
-    counted = map_texts(held, start, f"{fields}, base_failed boolean, log_ppl double", "text", ["held", wordgrams.KEY])
-    counted = counted.select("row.*", *COUNTS, "base_failed", "log_ppl").withColumnRenamed("held", "row")
+    counted = map_texts(held, start, f"{fields}, sketch long, base_failed boolean, log_ppl double", "text", ["held", wordgrams.KEY])
+    counted = counted.select("row.*", *COUNTS, "sketch", "base_failed", "log_ppl").withColumnRenamed("held", "row")
     per_word = -F.coalesce("log_p", F.lit(0)) / wordgrams.UNIT / F.greatest("n_words", F.lit(1))
     return counted.join(log_p, wordgrams.KEY, "left").withColumn("word_ppl", per_word).drop("log_p")
 
@@ -134,13 +141,14 @@ def bands(scored: DataFrame, lang: str = "lang") -> DataFrame:
     """(language, low, high, word_high) from the documents that pass the base
     rules.
 
-    Copies count once (equal perplexity and counts), so that a large group
-    of them does not set the band.  Log perplexities are counted in steps,
+    Texts of one sketch count once (copies, and most near copies), so that a
+    large group of them does not set the band; the one with the least key
+    stands for them.  Log perplexities are counted in steps,
     so the quartiles come from histograms: partial counts, one row per
     language, model and step."""
     distinct = scored.filter("not base_failed").groupBy(
-        language(F.col("row").getField(lang)).alias("language"), "log_ppl", "word_ppl", "word_chars", "n_words"
-    ).agg(F.lit(1).alias("n"))
+        language(F.col("row").getField(lang)).alias("language"), "sketch"
+    ).agg(F.min_by(F.struct("log_ppl", "word_ppl"), wordgrams.KEY).alias("one")).select("language", "one.*")
     values = [
         F.struct(F.lit(of).alias("of"), F.round(F.col(of) / size).cast("long").alias("step"))
         for of, size in (("log_ppl", STEP), ("word_ppl", WORD_STEP))

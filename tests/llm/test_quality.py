@@ -209,3 +209,36 @@ def test_shuffled_words_are_told_from_text(spark, docs_of):
     rows += [(1000 + i, " ".join(r.sample(w, len(w))), "ru") for i, w in enumerate(texts[:20])]
     kept = {x.doc_id for x in quality_report(docs_of(rows)).filter("kept").collect()}
     assert not any(i >= 1000 for i in kept) and len(kept) >= 294
+
+
+def test_equal_texts_score_alike_wherever_they_stand(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet").limit(60)
+    texts = [(r.text or "").encode() for r in docs.select("text").collect()]
+    score = ngram.Scorer(ngram.fit(docs))
+    alone = [score([t])[0] for t in texts]
+    assert score(texts).tolist() == alone and score(texts[::-1]).tolist() == alone[::-1]
+
+
+def test_copies_do_not_set_the_band(spark, docs_of):
+    """Over half of the rows are copies or near copies of one text."""
+    r = random.Random(12)
+    vocabulary = ["".join(r.choices("abcdefghijklmnopqrstuvwxyz", k=r.randrange(2, 9))) for _ in range(300)]
+    rare = ["".join(r.choices("0123456789&xyzQ", k=5)) for _ in range(300)]
+    rows = [(i, " ".join(r.choice(rare if r.random() < i / 500 else vocabulary) for _ in range(400))) for i in range(200)]
+    base = rows[100][1].split()
+
+    def judged(rows):
+        got = quality_report(docs_of(rows)).collect()
+        return got[0].high - got[0].low, {x.doc_id for x in got if x.kept}
+
+    width, alone = judged(rows)
+    assert len(alone) > 190
+    for near in (False, True):
+        copies = []
+        for i in range(300):
+            words = list(base)
+            if near:
+                words[r.randrange(len(words))] = r.choice(vocabulary)
+            copies.append((1000 + i, " ".join(words)))
+        new_width, kept = judged(rows + copies)
+        assert new_width > 0.6 * width and len(alone & kept) > 0.95 * len(alone)
