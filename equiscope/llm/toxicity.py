@@ -9,7 +9,8 @@ of longer words, which inflected and compound forms share.  The output is the ex
 
 Grades of a labelled document: 0 not toxic, 1 toxic, 2 toxic and of low
 quality.  The model is fitted on a sample of labelled documents of bounded
-size (``SAMPLE_TOXIC`` and ``SAMPLE_CLEAN``, chosen by the hash of the id)
+size (``SAMPLE_TOXIC`` and ``SAMPLE_CLEAN``, chosen by the hash of the id),
+each weighted by the labelled documents of its class that it stands for,
 and of bounded features (``FEATURES``, the words most strongly tied to
 toxicity in the sample); the lasso penalty leaves a few of them.  Every
 document is scored, whole.
@@ -90,19 +91,22 @@ def grades(labels: DataFrame, doc_id: str = "doc_id") -> DataFrame:
     )
 
 
-def training_sample(docs: DataFrame, labels: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """(grade, buckets) of the sampled documents, equal ones once."""
-    graded = grades(labels, doc_id).withColumn("h", F.xxhash64("id"))
+def training_sample(docs: DataFrame, labels: DataFrame, doc_id: str, text: str) -> tuple[DataFrame, float, float]:
+    """(grade, buckets) of the sampled documents, equal ones once, and how many
+    labelled documents a clean and a toxic one of them stands for."""
+    graded = cut_lineage(grades(labels, doc_id).withColumn("h", F.xxhash64("id")))
+    counts = {r["toxic"]: r["n"] for r in graded.groupBy((F.col("grade") > 0).alias("toxic")).agg(F.count(F.lit(1)).alias("n")).collect()}
     toxic = graded.filter("grade > 0").orderBy("h", "id").limit(SAMPLE_TOXIC)
     clean = graded.filter("grade = 0").orderBy("h", "id").limit(SAMPLE_CLEAN)
     sample = cut_lineage(toxic.union(clean).select("id", "grade"))  # SAMPLE_TOXIC + SAMPLE_CLEAN rows at most
     taken = docs.select(docs[doc_id].alias("id"), docs[text].alias("text")).join(F.broadcast(sample), "id")
     found = map_texts(taken, lambda: distinct_buckets, "buckets array<int>", "text", ["grade"])
-    return cut_lineage(found.select("row.grade", "buckets").dropDuplicates(["grade", "buckets"]))
+    stands_for = (max(counts.get(t, 0) / cap, 1.0) for t, cap in ((False, SAMPLE_CLEAN), (True, SAMPLE_TOXIC)))
+    return cut_lineage(found.select("row.grade", "buckets").dropDuplicates(["grade", "buckets"])), *stands_for
 
 
 def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text") -> OrdinalModel:
-    sample = training_sample(docs, labels, doc_id, text)
+    sample, per_clean, per_toxic = training_sample(docs, labels, doc_id, text)
     sizes = {r["toxic"]: r["n"] for r in sample.groupBy((F.col("grade") > 0).alias("toxic")).agg(F.count(F.lit(1)).alias("n")).collect()}
     n1, n0 = sizes.get(True, 0), sizes.get(False, 0)
     if not n1 or not n0:
@@ -123,24 +127,26 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
     x = np.zeros((len(grade), len(top)), np.float32)
     owner = np.repeat(np.arange(len(grade)), np.diff(lists.offsets.to_numpy()))
     x[owner, place[lists.flatten().to_numpy()]] = 1
-    w, thresholds = fit_ordinal(x, grade, GRADES)
+    w, thresholds = fit_ordinal(x, grade, GRADES, weight=np.where(grade > 0, per_toxic, per_clean))
     weights = np.zeros(BUCKETS, np.float32)
     weights[np.array(top, np.int64)] = w
     return OrdinalModel(weights, thresholds)
 
 
-def fit_ordinal(x: np.ndarray, grade: np.ndarray, n_grades: int, lasso: float = LASSO, rounds: int = ROUNDS):
+def fit_ordinal(x: np.ndarray, grade: np.ndarray, n_grades: int, lasso: float = LASSO, rounds: int = ROUNDS, weight=None):
     """(weights, thresholds) by accelerated proximal gradient steps on the
-    mean negative log likelihood plus ``lasso`` times the weights' 1-norm."""
-    n = len(grade)
-    upto = np.array([(np.sum(grade <= k) + 0.5) / (n + 1) for k in range(n_grades - 1)])
+    mean negative log likelihood plus ``lasso`` times the weights' 1-norm;
+    rows count ``weight`` times."""
+    share = np.ones(len(grade)) if weight is None else np.asarray(weight, float)
+    n = share.sum()
+    upto = np.array([(share[grade <= k].sum() + 0.5) / (n + 1) for k in range(n_grades - 1)])
     t = np.log(upto / (1 - upto))
     for k in range(1, n_grades - 1):
         t[k] = max(t[k], t[k - 1] + 1e-3)
     w = np.zeros(x.shape[1], np.float32)
     v = np.ones(x.shape[1], np.float32)
     for _ in range(20):  # largest curvature, by power iteration
-        v = x.T @ (x @ v) / n
+        v = x.T @ (x @ v * share).astype(np.float32) / n
         size = float(np.linalg.norm(v)) or 1.0
         v /= size
     step = 1.0 / (0.25 * size + 0.5)
@@ -152,7 +158,7 @@ def fit_ordinal(x: np.ndarray, grade: np.ndarray, n_grades: int, lasso: float =
         hi = 1 / (1 + np.exp(np.clip(s - edges[grade + 1], -big, big)))
         lo = 1 / (1 + np.exp(np.clip(s - edges[grade], -big, big)))
         p = np.maximum(hi - lo, 1e-9)
-        d_hi, d_lo = hi * (1 - hi) / p, lo * (1 - lo) / p
+        d_hi, d_lo = share * hi * (1 - hi) / p, share * lo * (1 - lo) / p
         grad_w = (x.T @ (d_hi - d_lo).astype(np.float32)) / n
         grad_t = np.array([(-(d_hi[grade == k]).sum() + d_lo[grade == k + 1].sum()) / n for k in range(n_grades - 1)])
         moved = look - step * grad_w

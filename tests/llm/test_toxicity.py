@@ -65,3 +65,18 @@ def test_odd_rows_and_columns(spark, docs_of):
     assert keep_clean(docs, none).count() == len(rows)
     assert keep_clean(docs, labels.filter("toxic = 0")).count() == len(rows)
     assert keep_clean(docs.limit(0), labels).count() == 0
+
+
+def test_bound_of_the_sample_does_not_move_the_thresholds(spark, docs_of, monkeypatch):
+    """Ten times as many clean documents as the sample takes: the thresholds of a fit on all."""
+    r = np.random.default_rng(7)
+    grade = (r.random(4000) < 0.12).astype(int)
+    texts = [f"w{r.integers(400)} w{r.integers(400)} n{i} " + "bad" * (r.random() < (0.7 if g else 0.03)) for i, g in enumerate(grade)]
+    docs = docs_of(list(enumerate(texts)))
+    labels = spark.createDataFrame([(i, 1, int(g)) for i, g in enumerate(grade)], "doc_id long, quality int, toxic int")
+    whole = fit(docs, labels)
+    monkeypatch.setattr(toxicity, "SAMPLE_CLEAN", 350)
+    bounded = fit(docs, labels)
+    assert abs(bounded.thresholds[0] - whole.thresholds[0]) < 0.5
+    sizes = [m.weights[m.weights > 0].sum() for m in (whole, bounded)]
+    assert min(sizes) > 0
