@@ -9,8 +9,8 @@ of longer words, which inflected and compound forms share.  The output is the ex
 
 Grades of a labelled document: 0 not toxic, 1 toxic, 2 toxic and of low
 quality.  The model is fitted on a sample of labelled documents of bounded
-size (``SAMPLE_TOXIC`` and ``SAMPLE_CLEAN``, chosen by the hash of the id),
-each weighted by the labelled documents of its class that it stands for,
+size (``SAMPLE_TOXIC`` and ``SAMPLE_CLEAN``, chosen by the hash of the id
+among the labelled documents that are in the table), each weighted by the labelled documents of its class that it stands for,
 and of bounded features (``FEATURES``, the words most strongly tied to
 toxicity in the sample); the lasso penalty leaves a few of them.  Every
 document is scored, whole.
@@ -94,7 +94,8 @@ def grades(labels: DataFrame, doc_id: str = "doc_id") -> DataFrame:
 def training_sample(docs: DataFrame, labels: DataFrame, doc_id: str, text: str) -> tuple[DataFrame, float, float]:
     """(grade, buckets) of the sampled documents, equal ones once, and how many
     labelled documents a clean and a toxic one of them stands for."""
-    graded = cut_lineage(grades(labels, doc_id).withColumn("h", F.xxhash64("id")))
+    here = grades(labels, doc_id).join(docs.select(docs[doc_id].alias("id")), "id", "left_semi")
+    graded = cut_lineage(here.withColumn("h", F.xxhash64("id")))
     counts = {r["toxic"]: r["n"] for r in graded.groupBy((F.col("grade") > 0).alias("toxic")).agg(F.count(F.lit(1)).alias("n")).collect()}
     toxic = graded.filter("grade > 0").orderBy("h", "id").limit(SAMPLE_TOXIC)
     clean = graded.filter("grade = 0").orderBy("h", "id").limit(SAMPLE_CLEAN)

@@ -80,3 +80,12 @@ def test_bound_of_the_sample_does_not_move_the_thresholds(spark, docs_of, monkey
     assert abs(bounded.thresholds[0] - whole.thresholds[0]) < 0.5
     sizes = [m.weights[m.weights > 0].sum() for m in (whole, bounded)]
     assert min(sizes) > 0
+
+
+def test_labels_without_documents_take_no_place(spark, docs_of, monkeypatch):
+    docs = docs_of([(i, "bad" * (i % 2) + f" plain words number{i} here") for i in range(40)])
+    labels = spark.createDataFrame([(i, 1, i % 2) for i in range(4000)], "doc_id long, quality int, toxic int")
+    monkeypatch.setattr(toxicity, "SAMPLE_TOXIC", 30)
+    monkeypatch.setattr(toxicity, "SAMPLE_CLEAN", 30)
+    kept = sorted(r.doc_id for r in keep_clean(docs, labels).collect())
+    assert kept == list(range(0, 40, 2))
