@@ -45,7 +45,7 @@ def engine_for(spark: SparkSession, sf_dir: str, **kw) -> CompletionsEngine:
 CANNED: dict[str, dict] = {
     "rollup_by_grouping": dict(
         method="rollup", grouping="gender", rollup=("ncses_field_group", ["FG1", "FG2"]),
-        filters=dict(start_year=1996, end_year=2000), rel_rate=True,
+        filters=dict(start_year=1984, end_year=2024), rel_rate=True,
     ),
     "rollup_race_by_year": dict(
         method="rollup", grouping="race_ethnicity",
@@ -59,11 +59,11 @@ CANNED: dict[str, dict] = {
     ),
     "rollup_missing_value": dict(
         method="rollup", grouping="gender", rollup=("ncses_field_group", ["FG3", "No such field"]),
-        filters=dict(start_year=1997, end_year=1999), rel_rate=True,
+        filters=dict(start_year=1984, end_year=2024), rel_rate=True,
     ),
     "rollup_empty_rollup": dict(
         method="rollup", grouping="gender", rollup=("ncses_field_group", ["No such field"]),
-        filters=dict(start_year=1997, end_year=1999), rel_rate=True,
+        filters=dict(start_year=1984, end_year=2024), rel_rate=True,
     ),
     "field_totals_by_grouping": dict(
         method="field", grouping="gender", taxonomy="ncses_field_group",
@@ -71,7 +71,7 @@ CANNED: dict[str, dict] = {
     ),
     "field_totals_intersectional_by_year": dict(
         method="field", grouping="intersectional", taxonomy="cip2020",
-        filters=dict(start_year=1996, end_year=2000), by_year=True, rel_rate=True,
+        filters=dict(start_year=1984, end_year=2024), by_year=True, rel_rate=True,
     ),
     "filter_taxonomy_values": dict(
         method="field", grouping="race_ethnicity", taxonomy="ncses_detailed_field_group",
@@ -106,7 +106,7 @@ CANNED: dict[str, dict] = {
     ),
     "uni_field_totals_by_grouping": dict(
         method="uni_field", grouping="intersectional", taxonomy="cip2020",
-        filters=dict(start_year=1996, end_year=2000), by_year=True, effect_size=True,
+        filters=dict(start_year=1984, end_year=2024), by_year=True, effect_size=True,
     ),
     "uni_field_race": dict(
         method="uni_field", grouping="race_ethnicity", taxonomy="ncses_field_group",

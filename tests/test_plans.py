@@ -52,3 +52,11 @@ def test_stored_fact_prunes_year_partitions(spark):
     assert re.search(r"PartitionFilters: \[[^\]]*year#\d+ >= 1997", plan), plan
     scan = [line for line in plan.splitlines() if "FileScan parquet" in line][0]
     assert "ReadSchema" in scan and "institution_name" not in scan and "cip_title" not in scan
+
+
+def test_registered_queries_read_all_years():
+    """Orders run from 1995 to 2001; only the year filter's own queries read less."""
+    from equiscope.plans.registry import CANNED
+
+    part = {n for n, s in CANNED.items() if s["filters"]["start_year"] > 1995 or s["filters"]["end_year"] < 2001}
+    assert part == {"filter_base", "filter_year_range_empty"}
