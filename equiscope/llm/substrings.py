@@ -1,13 +1,12 @@
-"""Duplicate passages by relative Lempel-Ziv parsing against reference blocks.
+"""Duplicate passages by lookup of 13-word windows in reference blocks.
 
 Documents are dealt into blocks by hash.  Every block is both text to parse
 and a reference block with an index; a document's references are the blocks'
 documents with smaller ids.  A factor is a passage of ``min_words`` (13)
-words or more that stands in a reference; the parse is greedy: a factor goes
-on for as long as every window of 13 words starting in it is found in the
-index under the same earliest document, and at a factor's end the windows
-over the boundary are probed in turn, so the next factor may begin within
-the last 12 words.  The union of the factors is exactly the words covered by
+words or more that stands in a reference.  Every window is looked up; this is
+not a relative Lempel-Ziv parse, and no longest match is sought: a factor is a
+run of windows found under the same earliest document, so the next one may
+begin within its last 12 words.  The union of the factors is exactly the words covered by
 windows that also start in an earlier document.
 
 The index is exchanged in two steps, each of one row per block and hash
