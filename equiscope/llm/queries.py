@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from equiscope.llm import bitslice, chat, packing, pieces, quality, revisits, simhash, substrings, toxicity, urls
+from equiscope.llm import bitslice, chat, packing, pieces, qda, quality, revisits, simhash, substrings, toxicity, urls
 
 QUERIES = {
     "op1_url_filter": urls.op1_url_filter,
@@ -16,6 +16,7 @@ QUERIES = {
     "op8_pieces": pieces.op8_pieces,
     "op9_toxicity": toxicity.op9_toxicity,
     "op10_packing": packing.op10_packing,
+    "op13_quality_classifier": qda.op13_quality_classifier,
     "pipeline": corpus_pipeline.run,
 }
 
