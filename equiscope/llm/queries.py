@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from equiscope.llm import bitslice, chat, packing, pieces, qda, quality, revisits, simhash, spelling, substrings, toxicity, urls
+from equiscope.llm import bitslice, chat, packing, phrases, pieces, qda, quality, revisits, simhash, spelling, substrings, toxicity, urls
 
 QUERIES = {
     "op1_url_filter": urls.op1_url_filter,
@@ -17,6 +17,7 @@ QUERIES = {
     "op9_toxicity": toxicity.op9_toxicity,
     "op10_packing": packing.op10_packing,
     "op11_spelling_variants": spelling.op11_spelling_variants,
+    "op12_collocations": phrases.op12_collocations,
     "op13_quality_classifier": qda.op13_quality_classifier,
     "pipeline": corpus_pipeline.run,
 }
@@ -29,6 +30,7 @@ ORACLE = {
     "op5_chat": chat.ORACLE_SQL,
     "op6_revisits": revisits.ORACLE_SQL,
     "op11_spelling_variants": spelling.ORACLE_SQL,
+    "op12_collocations": phrases.ORACLE_SQL,
 }
 if corpus_pipeline.ORACLE_SQL:
     ORACLE["pipeline"] = corpus_pipeline.ORACLE_SQL
