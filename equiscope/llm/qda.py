@@ -158,28 +158,36 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % FOLDS == HELD_OUT, F.lit(False))
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(label, n feature row of long): the labelled training documents,
-    equal texts of a label once.  Texts are told apart by a 64-bit hash, so
-    the texts themselves are not shuffled behind the features."""
+def described(docs: DataFrame, text: str = "text", keep: list[str] | None = None) -> DataFrame:
+    """(row struct of the kept columns, h: 64-bit hash of the text, x: its
+    statistics).  The texts go no further than this: what is joined with the
+    labels and what is scored is some fifty bytes a document."""
+
+    def run(texts):
+        rows = statistics(texts)
+        ends = np.arange(len(rows) + 1, dtype=np.int32) * len(FEATURES)
+        return {"x": pa.ListArray.from_arrays(pa.array(ends), pa.array(rows.ravel().astype(np.int32)))}
+
+    kept = docs.columns if keep is None else keep
+    held = docs.select(
+        F.struct(*[docs[f"`{c}`"] for c in kept]).alias("held"), F.xxhash64(docs[text]).alias("h"), docs[text].alias("text")
+    )
+    found = map_texts(held, lambda: run, "x array<int>", "text", ["held", "h"])
+    return found.select(F.col("row.held").alias("row"), "row.h", "x")
+
+
+def training_rows(rows: DataFrame, labels: DataFrame, doc_id: str = "doc_id") -> DataFrame:
+    """(label, h, x) of the labelled training documents; equal texts of a
+    label once."""
     known = (
         labels.filter(F.col("quality").isNotNull() & F.col(doc_id).isNotNull())
         .groupBy(F.col(doc_id).alias("id"))
         .agg(F.min("quality").alias("label"))
         .filter(~held_out(F.col("id")))
     )
-    taken = docs.select(docs[doc_id].alias("id"), docs[text].alias("text")).filter(~held_out(F.col("id")))
-    taken = taken.join(known, "id").select(
-        (F.col("label") > 0).cast("int").alias("label"), F.xxhash64("text").alias("h"), "text"
-    )
-
-    def run(texts):
-        rows = statistics(texts)
-        ends = np.arange(len(rows) + 1, dtype=np.int32) * len(FEATURES)
-        return {"x": pa.ListArray.from_arrays(pa.array(ends), pa.array(rows.ravel()))}
-
-    found = map_texts(taken, lambda: run, "x array<long>", "text", ["label", "h"])
-    return found.groupBy("row.label", "row.h").agg(F.first("x").alias("x"))
+    taken = rows.select(F.col("row").getField(doc_id).alias("id"), "h", "x").filter(~held_out(F.col("id")))
+    found = taken.join(known, "id").select((F.col("label") > 0).cast("int").alias("label"), "h", "x")
+    return found.groupBy("label", "h").agg(F.first("x").alias("x"))
 
 
 def moments(rows: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -190,7 +198,7 @@ def moments(rows: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     def add(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             label = batch.column(0).to_numpy()
-            x = batch.column(1).flatten().to_numpy().reshape(len(label), d - 1)
+            x = batch.column(1).flatten().to_numpy().astype(np.int64).reshape(len(label), d - 1)
             x = np.concatenate([np.ones((len(x), 1), np.int64), x], 1)
             total = [(x[label == k].T @ x[label == k]).ravel() for k in (0, 1)]
             yield pa.record_batch(
@@ -239,22 +247,35 @@ def calibration(rows: DataFrame, model: Discriminant) -> tuple[float, float]:
     return max(float(w[0]), 1e-3), float(w[1])
 
 
-def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Discriminant:
-    rows = cut_lineage(training_rows(docs, labels, doc_id, text))
-    model = discriminant(*moments(rows))
+def fit(rows: DataFrame, labels: DataFrame, doc_id: str = "doc_id") -> Discriminant:
+    """The model of :func:`described` documents and their labels."""
+    known = cut_lineage(training_rows(rows, labels, doc_id))
+    model = discriminant(*moments(known))
     if model.means is not None:
-        model.slope, model.shift = calibration(rows, model)
+        model.slope, model.shift = calibration(known, model)
     return model
 
 
-def score(docs: DataFrame, model: Discriminant, text: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """(row struct of the kept columns, score)."""
-    return map_texts(docs, lambda: lambda texts: {"score": model.score(statistics(texts))}, "score double", text, keep)
+def score(rows: DataFrame, model: Discriminant) -> DataFrame:
+    """(row, score) of :func:`described` documents."""
+    kept = rows.select("row", "x")
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x = batch.column(1).flatten().to_numpy().reshape(batch.num_rows, len(FEATURES))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(model.score(x))], names=["row", "score"])
+
+    return kept.mapInArrow(run, f"row {kept.schema['row'].dataType.simpleString()}, score double")
+
+
+def classify(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", keep: list[str] | None = None) -> DataFrame:
+    """(row struct of the kept columns, score): every text is read once."""
+    rows = cut_lineage(described(docs, text, keep))
+    return score(rows, fit(rows, labels, doc_id))
 
 
 def op13_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read(spark, sf_dir, "documents")
-    scored = score(docs, fit(docs, read(spark, sf_dir, "labels")), keep=["doc_id"])
+    scored = classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"), keep=["doc_id"])
     return scored.select("row.doc_id", held_out(F.col("row.doc_id")).alias("held_out"), "score").withColumn(
         "predicted", (F.col("score") >= KEEP_FROM).cast("int")
     )

@@ -52,7 +52,7 @@ def in_fold(doc_id):
 def test_densities_against_plain_version(spark):
     path = "/root/testdata/sf0.01"
     docs, labels = (spark.read.parquet(f"{path}/{t}.parquet") for t in ("documents", "labels"))
-    model = qda.fit(docs, labels)
+    model = qda.fit(qda.described(docs), labels)
     quality = {}
     for r in labels.collect():
         quality[r.doc_id] = min(r.quality, quality.get(r.doc_id, 1))
@@ -92,13 +92,13 @@ def test_held_out_labels_do_not_matter(spark):
     path = "/root/testdata/sf0.01"
     docs, labels = (spark.read.parquet(f"{path}/{t}.parquet") for t in ("documents", "labels"))
     turned = labels.withColumn("quality", F.when(qda.held_out(F.col("doc_id")), 1 - F.col("quality")).otherwise(F.col("quality")))
-    a, b = qda.fit(docs, labels), qda.fit(docs.repartition(5), turned)
+    a, b = qda.fit(qda.described(docs), labels), qda.fit(qda.described(docs.repartition(5)), turned)
     assert np.array_equal(a.means, b.means) and np.array_equal(a.factors, b.factors)
     assert (a.slope, a.shift) == (b.slope, b.shift)
 
 
 def scores(docs, model):
-    return qda.score(docs, model, keep=["doc_id"]).select("row.doc_id", "score").collect()
+    return qda.score(qda.described(docs), model).select("row.doc_id", "score").collect()
 
 
 def test_odd_rows_and_columns(spark, docs_of):
@@ -107,18 +107,19 @@ def test_odd_rows_and_columns(spark, docs_of):
     odd = [(1000 + i, t) for i, t in enumerate(ODD)] + [(None, "good words"), (1, "BAD!! $$$ again"), (1, None)]
     docs = docs_of(rows + odd).withColumns({"row": F.lit("x"), "score": F.lit(3), "label": F.lit(1)})
     labels = spark.createDataFrame([(i, i % 2, 0) for i in train] + [(None, 0, 0), (1, 1, None), (5, None, 1), (10**9, 0, 0)], LABELS)
-    model = qda.fit(docs, labels)
+    rows_of = qda.described(docs)
+    model = qda.fit(rows_of, labels)
     got = scores(docs, model)
     assert len(got) == len(rows) + len(odd) and all(0 <= r.score <= 1 for r in got)
     by = {r.doc_id: r.score for r in got if r.doc_id not in (None, 1)}
     assert min(by[i] for i in train[10:] if i % 2) > 0.7 > max(by[i] for i in train[10:] if not i % 2)
     assert by[1000] == by[1001]  # null and empty
     assert scores(docs_of([]), model) == []
-    none = qda.fit(docs, labels.limit(0))
+    none = qda.fit(rows_of, labels.limit(0))
     assert {r.score for r in scores(docs, none)} == {0.5}
-    only = qda.fit(docs, labels.filter("quality = 1"))
+    only = qda.fit(rows_of, labels.filter("quality = 1"))
     assert {r.score for r in scores(docs, only)} == {1.0}
-    empty = qda.fit(docs_of([]), labels)
+    empty = qda.fit(qda.described(docs_of([])), labels)
     assert scores(docs, empty)[0].score == 0.5
 
 
@@ -127,5 +128,5 @@ def test_copies_count_once(spark, docs_of):
     base = [(i, " ".join(f"w{j * i % 17}" for j in range(5 + i % 40)) if i % 3 else "JUNK!! " * (5 + i % 9)) for i in train[:300]]
     labels = spark.createDataFrame([(i, int(i % 3 > 0), 0) for i in train], LABELS)
     copies = [(i, base[1][1]) for i in train[300:] if i % 3 == base[1][0] % 3]
-    a, b = qda.fit(docs_of(base), labels), qda.fit(docs_of(base + copies), labels)
+    a, b = (qda.fit(qda.described(docs_of(x)), labels) for x in (base, base + copies))
     assert np.array_equal(a.means, b.means) and a.slope == b.slope
