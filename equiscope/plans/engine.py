@@ -274,7 +274,7 @@ class CompletionsEngine(QueryEngine):
             taxonomy_on_field=True, filter_unitids=filter_unitids,
         )
         keys = ["unitid", tax, *grouping.grouping_columns, *(["year"] if by_year else [])]
-        df = self._effects(df, "field", grouping, keys, rel_rate, effect_size)
+        df = self._effects(df, "field", grouping, keys, rel_rate, effect_size, by_window=True)
         return self._finish(df, ["institution_name", *keys], sort, show_query)
 
     # -- rates -------------------------------------------------------------
@@ -285,11 +285,11 @@ class CompletionsEngine(QueryEngine):
         base = Rate("uni_pct", f"uni_degrees_{s}", "uni_degrees_total")
         return sub, base
 
-    def _effects(self, df, agg_type, grouping, keys, rel_rate, effect_size):
+    def _effects(self, df, agg_type, grouping, keys, rel_rate, effect_size, by_window=False):
         if not (rel_rate or effect_size):
             return df
         sub, base = self._rates(agg_type, grouping)
         df = with_rel_rate(df, sub, base)
         if effect_size:
-            df = with_effect_size(df, sub, base, keys[1:])
+            df = with_effect_size(df, sub, base, keys[1:], by_window)
         return df

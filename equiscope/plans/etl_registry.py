@@ -743,13 +743,25 @@ def q_group_share(spark, sf_dir):
     return presentable(g.select("unitid", "ncses_field_group", "gender", "year", "share_within_field", "share_of_all_fields"))
 
 
-@reg("zscore_pvalue", _scalar_sql(f"""SELECT {KEYS}, {O.rounded('z')}, {O.rounded_expr(O.pvalue_sql('z'))} AS p FROM (
-  SELECT *, {O.zscore_sql('field_degrees_within_gender', 'field_degrees_total', 'uni_degrees_within_gender', 'uni_degrees_total')} AS z FROM rated)"""))
+def _zscore_pvalue_sql() -> str:
+    z = O.zscore_sql("field_degrees_within_gender", "field_degrees_total", "uni_degrees_within_gender", "uni_degrees_total")
+    scored = f"(SELECT {KEYS}, {z} AS z FROM rated)"
+    small = "CASE WHEN p > 0 THEN log10(p) END"
+    return _scalar_sql(f"""SELECT {KEYS}, {O.rounded('z')}, {O.rounded_expr('p', O.P_DIGITS)} AS pvalue,
+  {O.rounded_expr(small, O.P_DIGITS)} AS log10_p
+FROM {scored} LEFT JOIN ({O.pvalues(scored, 'z')}) USING (z)""")
+
+
+@reg("zscore_pvalue", _zscore_pvalue_sql())
 def q_zscore_pvalue(spark, sf_dir):
+    """Small p-values are compared by their logarithm, so by relative error."""
     g = scalar_grid(spark, sf_dir)
     g = add_zscore(g, R.Rate("field_pct", "field_degrees_within_gender", "field_degrees_total"),
                    R.Rate("uni_pct", "uni_degrees_within_gender", "uni_degrees_total"), "t")
-    return presentable(g.select("unitid", "ncses_field_group", "gender", "year", F.col("t_zscore").alias("z"), F.col("t_pvalue").alias("p")))
+    p = F.col("t_pvalue")
+    out = g.select("unitid", "ncses_field_group", "gender", "year", F.col("t_zscore").alias("z"), p.alias("pvalue"),
+                   F.when(p > 0, F.log10(p)).alias("log10_pvalue"))
+    return presentable(out).withColumnRenamed("log10_pvalue", "log10_p")
 
 
 @reg("median_rel_rate", _scalar_sql("""SELECT ncses_field_group, gender, year, (min(rel_rate) + max(rel_rate)) / 2e0 AS median_rel_rate
@@ -764,14 +776,9 @@ def q_median_rel_rate(spark, sf_dir):
 
 @reg("median_rel_rate_aggregate", ORACLE.get("median_rel_rate"))
 def q_median_rel_rate_aggregate(spark, sf_dir):
-    """The engine's own median aggregate gives the same values."""
-    g = scalar_grid(spark, sf_dir).filter("rel_rate is not null and not isnan(rel_rate)")
-    out = g.groupBy("ncses_field_group", "gender", "year").agg(F.median("rel_rate").alias("median_rel_rate"))
-    return presentable(out)
-
-
-ORACLE["median_rel_rate_aggregate"] = ORACLE["median_rel_rate"].replace(
-    "(min(rel_rate) + max(rel_rate)) / 2e0 AS median_rel_rate", "round((min(rel_rate) + max(rel_rate)) / 2e0, 9) + 0e0 AS median_rel_rate")
+    """The path for groups of any size gives the same values."""
+    g = scalar_grid(spark, sf_dir)
+    return median_by(g, ["ncses_field_group", "gender", "year"], "rel_rate", "median_rel_rate", unbounded=True)
 
 
 def _read_year_sql(wide: list[tuple[str, str]]) -> str:

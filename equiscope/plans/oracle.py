@@ -8,9 +8,10 @@ than the Spark plan, so the two are independent implementations.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
+from fractions import Fraction
 
-from equiscope.functions.stats import erfc_sql
 from equiscope.sources.tables import FACT_SQL, INSTITUTIONS_SQL
 from equiscope.vocab import Grouping
 
@@ -64,9 +65,55 @@ def zscore_sql(c1: str, n1: str, c2: str, n2: str) -> str:
     return safe_div(f"({p1} - {p2})", f"sqrt({var})")
 
 
-def pvalue_sql(z: str) -> str:
-    """p-value text; ``z`` must be a plain column reference."""
-    return erfc_sql(f"(abs({z}) * {0.5 ** 0.5!r})")
+def _horner(coeffs: Sequence[float], v: str) -> str:
+    out = f"{coeffs[-1]:.17e}"
+    for c in reversed(coeffs[:-1]):
+        out = f"({c:.17e} + {v} * {out})"
+    return out
+
+
+def _series() -> list[float]:
+    """1 / (1 * 3 * ... * (2 n + 1))."""
+    out, d = [], 1
+    for n in range(41):
+        d *= 2 * n + 1
+        out.append(1.0 / d)
+    return out
+
+
+def _convergent(depth: int = 40) -> tuple[list[float], list[float]]:
+    """Numerator and denominator, by power, of x + (1/2)/(x + 1/(x + (3/2)/(x + ...)))."""
+    above, below = ([Fraction(1)], [Fraction(0), Fraction(1)]), ([Fraction(0)], [Fraction(1)])
+    for k in range(1, depth + 1):
+        step = []
+        for before, now in (above, below):
+            moved = [Fraction(0), *now]
+            for i, c in enumerate(before):
+                moved[i] += Fraction(k, 2) * c
+            step.append((now, moved))
+        above, below = step
+    return [float(c) for c in above[1]], [float(c) for c in below[1]]
+
+
+def pvalues(source: str, *zs: str) -> str:
+    """CTE body: (z, p) of every different value of the z columns.
+
+    ``p = erfc(|z| / sqrt 2)``: a power series below 2, Laplace's continued
+    fraction as one quotient above; nothing of it is shared with the Spark side."""
+    num, den = _convergent()
+    each = " UNION ".join(f"SELECT {z} AS z FROM {source}" for z in zs)
+    root = math.sqrt(math.pi)
+    return (
+        "SELECT z, CASE WHEN isnan(z) THEN z "
+        f"WHEN x < 2e0 THEN 1e0 - {2 / root:.17e} * x * e * {_horner(_series(), 'y')} "
+        f"WHEN x < 2.75e1 THEN e * {_horner(den, 'x')} / ({root:.17e} * {_horner(num, 'x')}) ELSE 0e0 END AS p "
+        "FROM (SELECT z, x, 2e0 * x * x AS y, exp(-(x * x)) AS e "
+        f"FROM (SELECT z, abs(z) * {0.5 ** 0.5!r} AS x FROM ({each}) WHERE z IS NOT NULL))"
+    )
+
+
+#: Digits of the compared p-values; the two sides compute them by different formulas.
+P_DIGITS = 6
 
 
 def rounded_expr(expr: str, digits: int = 9) -> str:
@@ -77,8 +124,12 @@ def rounded(col: str, digits: int = 9) -> str:
     return f"(round({col}, {digits}) + 0e0) AS {col}"
 
 
+#: Read more than once, so computed once.
+STORED = {"filtered", "rated0", "rated", "e1", "e4", "pv"}
+
+
 def with_cte(*ctes: tuple[str, str]) -> str:
-    return "WITH " + ",\n".join(f"{n} AS ({body})" for n, body in ctes)
+    return "WITH " + ",\n".join(f"{n} AS {'MATERIALIZED ' * (n in STORED)}({body})" for n, body in ctes)
 
 
 def base_ctes() -> list[tuple[str, str]]:
@@ -195,8 +246,7 @@ def effect_ctes(src: str, agg_type: str, grouping: Grouping, group_cols: Sequenc
         f"WHERE r = (n - 1) // 2 OR r = n // 2 GROUP BY {gk}"
     )
     e2 = (
-        f"SELECT e1.*, {pvalue_sql('excess_degrees_from_parity_zscore')} AS excess_degrees_from_parity_pvalue, "
-        f"COALESCE(med.median_rel_rate_uni, {NAN}) AS median_rel_rate_uni "
+        f"SELECT e1.*, COALESCE(med.median_rel_rate_uni, {NAN}) AS median_rel_rate_uni "
         f"FROM e1 LEFT JOIN med USING ({gk})"
     )
     e3 = (
@@ -210,10 +260,12 @@ def effect_ctes(src: str, agg_type: str, grouping: Grouping, group_cols: Sequenc
         f"AS excess_degrees_from_median_expected_zscore FROM e3"
     )
     e5 = (
-        f"SELECT *, {pvalue_sql('excess_degrees_from_median_expected_zscore')} "
-        f"AS excess_degrees_from_median_expected_pvalue FROM e4"
+        "SELECT e4.*, a.p AS excess_degrees_from_parity_pvalue, b.p AS excess_degrees_from_median_expected_pvalue "
+        "FROM e4 LEFT JOIN pv a ON a.z = excess_degrees_from_parity_zscore "
+        "LEFT JOIN pv b ON b.z = excess_degrees_from_median_expected_zscore"
     )
-    return [("e1", e1), ("ranked", ranked), ("med", med), ("e2", e2), ("e3", e3), ("e4", e4), ("e5", e5)]
+    pv = pvalues("e4", "excess_degrees_from_parity_zscore", "excess_degrees_from_median_expected_zscore")
+    return [("e1", e1), ("ranked", ranked), ("med", med), ("e2", e2), ("e3", e3), ("e4", e4), ("pv", pv), ("e5", e5)]
 
 
 def canned_query_sql(
@@ -241,5 +293,5 @@ def canned_query_sql(
             "median_rel_rate_expected_degrees", "excess_degrees_from_median_expected",
             "excess_degrees_from_median_expected_zscore", "excess_degrees_from_median_expected_pvalue",
         ]
-    select = ", ".join(cols + [rounded(c) for c in dbl])
+    select = ", ".join(cols + [rounded(c, P_DIGITS if c.endswith("pvalue") else 9) for c in dbl])
     return f"{with_cte(*ctes)}\nSELECT {select} FROM {src}"

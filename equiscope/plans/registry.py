@@ -23,10 +23,11 @@ QueryFn = Callable[[SparkSession, str], DataFrame]
 
 
 def presentable(df: DataFrame, digits: int = 9) -> DataFrame:
-    """Round every floating column (NaN / inf pass through); -0.0 -> 0.0."""
+    """Round every floating column (NaN / inf pass through), p-values to
+    fewer digits; -0.0 -> 0.0."""
     return df.select(
         *[
-            (F.round(F.col(f.name), digits) + F.lit(0.0)).alias(f.name)
+            (F.round(F.col(f.name), oracle.P_DIGITS if f.name.endswith("pvalue") else digits) + F.lit(0.0)).alias(f.name)
             if isinstance(f.dataType, (DoubleType, FloatType))
             else F.col(f.name)
             for f in df.schema.fields
