@@ -254,7 +254,14 @@ def q_classify_stem(spark, sf_dir):
 
 @reg("scan_stem_list", O.with_cte(("stem", B.STEM_SQL)) + "\nSELECT code FROM stem")
 def q_scan_stem_list(spark, sf_dir):
-    return B.sql_df(spark, sf_dir, B.STEM_SQL, PART).select("code").distinct()
+    """Write the list as it is published (series, code, title, spaces and
+    repeated codes) and load it."""
+    path = FS.scratch_path(spark, "stem-list")
+    code = B.sql_df(spark, sf_dir, B.STEM_SQL, PART).select("code")
+    listed = code.select(F.left("code", F.lit(2)).alias("2-Digit Series"), F.concat(F.lit(" "), "code").alias("Code"),
+                         F.concat(F.lit("Title, of "), "code").alias("Title"))
+    listed.unionAll(listed.limit(3)).write.option("header", True).option("ignoreLeadingWhiteSpace", False).csv(path)
+    return FS.read_stem_list(spark, path).select("code")
 
 
 @reg("split_code_title", O.with_cte(("raw_tax", B.RAW_TAXONOMY_SQL)) + """
@@ -561,11 +568,36 @@ def q_load_institutions_table(spark, sf_dir):
     return FS.load_institutions_table(spark, path)
 
 
+def _fact_files(spark, sf_dir, name, **changed):
+    """The fact as two sets of files, the second with its columns in reverse."""
+    path = FS.scratch_path(spark, name)
+    fact = completions_fact(spark, sf_dir).withColumns({c: v for c, v in changed.items()})
+    half = F.pmod(F.col("unitid"), F.lit(2)) == 0
+    for part, columns in ((fact.filter(half), fact.columns), (fact.filter(~half), fact.columns[::-1])):
+        part.select(*columns).write.mode("append").option("header", True).option("compression", "gzip").csv(path)
+    return path
+
+
 @reg("load_typed_table", FACT_SQL)
 def q_load_typed_table(spark, sf_dir):
-    path = FS.scratch_path(spark, "fact-csv")
-    completions_fact(spark, sf_dir).write.option("header", True).option("compression", "gzip").csv(path)
-    return FS.read_fact_csv(spark, path)
+    """Files of two column orders, each read under its own header."""
+    return FS.read_fact_csv(spark, _fact_files(spark, sf_dir, "fact-csv"))
+
+
+@reg("load_typed_table_rejects", f"""SELECT unitid, cipcode, CASE WHEN unitid % 11 <> 0 THEN majornum END AS majornum,
+  unitid % 7 = 0 OR unitid % 11 = 0 AS rejected, CASE WHEN unitid % 7 <> 0 THEN n_awards END AS n_awards,
+  concat_ws(',', CASE WHEN unitid % 11 = 0 THEN 'majornum' END, CASE WHEN unitid % 7 = 0 THEN 'n_awards' END) AS bad
+FROM ({FACT_SQL}) f""")
+def q_load_typed_table_rejects(spark, sf_dir):
+    """Counts and majors that are no numbers: such rows are set aside, named."""
+    unit = F.col("unitid")
+    words = F.when(unit % 7 == 0, F.lit("twelve")).otherwise(F.col("n_awards").cast("string"))
+    major = F.when(unit % 11 == 0, F.lit("1.5x")).otherwise(F.col("majornum").cast("string"))
+    path = _fact_files(spark, sf_dir, "fact-csv-bad", n_awards=words, majornum=major)
+    good, bad = FS.read_fact_csv_with_rejects(spark, path)
+    both = good.withColumn(FS.BAD_VALUES, F.array().cast("array<string>")).unionByName(bad)
+    return both.select("unitid", "cipcode", "majornum", (F.size(FS.BAD_VALUES) > 0).alias("rejected"), "n_awards",
+                       F.array_join(FS.BAD_VALUES, ",").alias("bad"))
 
 
 @reg("sink_interim", FACT_SQL)

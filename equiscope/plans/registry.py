@@ -35,9 +35,9 @@ def presentable(df: DataFrame, digits: int = 9) -> DataFrame:
     )
 
 
-def engine_for(spark: SparkSession, sf_dir: str, **kw) -> CompletionsEngine:
+def engine_for(spark: SparkSession, sf_dir: str, years: tuple[int, int] | None = None, **kw) -> CompletionsEngine:
     return CompletionsEngine(
-        spark, completions_fact(spark, sf_dir), institutions_dim(spark, sf_dir), check_values=False, **kw
+        spark, completions_fact(spark, sf_dir, years), institutions_dim(spark, sf_dir), check_values=False, **kw
     )
 
 
@@ -126,8 +126,8 @@ CANNED: dict[str, dict] = {
 
 
 def run_canned(spark: SparkSession, sf_dir: str, spec: dict) -> DataFrame:
-    eng = engine_for(spark, sf_dir)
     qf = QueryFilters(strict=False, **spec["filters"])
+    eng = engine_for(spark, sf_dir, (qf.start_year, qf.end_year))
     common = dict(
         query_filters=qf, by_year=spec.get("by_year", False), rel_rate=spec.get("rel_rate", False),
         filter_unitids=spec.get("filter_unitids"),

@@ -6,10 +6,13 @@ column taken from the path).
 
 from __future__ import annotations
 
+import functools
 import re
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from urllib.parse import unquote
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
@@ -44,6 +47,11 @@ FACT_SCHEMA = StructType(
 )
 
 
+DATABASE_TABLES = ("completions", "cip_info", "institutions")
+#: Header jobs under way at a time.
+HEADER_JOBS = 8
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
@@ -70,15 +78,19 @@ def prefer_revised(original: DataFrame, revised: DataFrame, key: str = "year") -
 
 
 def file_headers(spark: SparkSession, pattern: str, encoding: str = "UTF-8") -> list[tuple[str, str]]:
-    """(path, header line) of every file, in order: one small job, one row per
-    file.  A header stands at the beginning of its file, so only first splits
-    are looked at; a file without any line is left out."""
-    lines = spark.read.option("encoding", encoding).text(pattern).select(
-        F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start"), "value",
-        F.monotonically_increasing_id().alias("at"),
-    )
-    first = lines.filter("start = 0").groupBy("path").agg(F.min_by("value", "at").alias("header"))
-    return [(r["path"], r["header"]) for r in first.orderBy("path").collect()]
+    """(path, header line) of every file, in order.  Files are listed, not
+    scanned, and of each only the first line is read (a limit job stops there),
+    so the bytes read for headers do not grow with the files; a file without
+    any line is left out."""
+    lines = spark.read.option("encoding", encoding)
+
+    def header(path: str) -> tuple[str, str] | None:
+        row = lines.text(unquote(path)).head()
+        return None if row is None else (path, row["value"])
+
+    files = sorted(spark.read.text(pattern).inputFiles())
+    with ThreadPoolExecutor(HEADER_JOBS) as pool:
+        return [found for found in pool.map(header, files) if found]
 
 
 def revised_paths(paths: list[str], pattern: str = r"/(?:year=)?(\d{4})/[^/]*$") -> list[str]:
@@ -163,9 +175,59 @@ def read_institution_csv(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("header", True).option("encoding", "ISO-8859-1").csv(path)
 
 
+BAD_VALUES = "bad_values"
+
+
+def typed_rows(raw: DataFrame, schema: StructType) -> DataFrame:
+    """``raw`` (strings, any order) under ``schema``, matched by name, with
+    ``bad_values``: the names of the columns whose text is not a value of the
+    type.  Missing and unknown columns are an error."""
+    have, want = set(raw.columns), set(schema.names)
+    if have != want:
+        raise ValueError(f"columns do not fit: missing {sorted(want - have)}, unknown {sorted(have - want)}")
+    out, bad = [], []
+    for f in schema.fields:
+        if isinstance(f.dataType, StringType):
+            out.append(F.col(f.name))
+            continue
+        value = F.col(f.name).try_cast(f.dataType)
+        out.append(value.alias(f.name))
+        bad.append(F.when(F.col(f.name).isNotNull() & value.isNull(), F.lit(f.name)))
+    return raw.select(*out, F.array_compact(F.array(*bad)).alias(BAD_VALUES))
+
+
+def scan_fact_csv(spark: SparkSession, path: str) -> DataFrame:
+    """The rows of interim fact files with ``bad_values``.  Every file is read
+    under its own header (one scan per different header), so columns may stand
+    in any order; a year may come from a ``year=`` folder."""
+    layouts: dict[str, list[str]] = {}
+    headers = file_headers(spark, path)
+    if not headers:
+        raise FileNotFoundError(f"no fact files under {path}")
+    for p, header in headers:
+        layouts.setdefault(header.strip(), []).append(unquote(p))
+    base = spark.read.option("header", True)
+    if not re.search(r"[*?\[{]", path):
+        base = base.option("basePath", path)
+    parts = [typed_rows(base.csv(layouts[header]), FACT_SCHEMA) for header in sorted(layouts)]
+    return functools.reduce(DataFrame.unionByName, parts)
+
+
 def read_fact_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Interim fact files (gzip CSV) with the fixed schema (no inference)."""
-    return spark.read.option("header", True).schema(FACT_SCHEMA).csv(path)
+    """Interim fact files (gzip CSV) with the fixed schema; a value that is
+    not of its column's type fails the query, which names it."""
+    rows = scan_fact_csv(spark, path)
+    told = F.concat(F.lit("no values of their type in columns "), F.array_join(BAD_VALUES, ", "))
+    # in every typed column, so that no column pruning loses the check
+    checked = {f.name: F.when(F.size(BAD_VALUES) > 0, F.raise_error(told).cast(f.dataType)).otherwise(F.col(f.name))
+               for f in FACT_SCHEMA.fields if not isinstance(f.dataType, StringType)}
+    return rows.withColumns(checked).drop(BAD_VALUES)
+
+
+def read_fact_csv_with_rejects(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """(good rows, rejected rows with ``bad_values``; their bad values are NULL)."""
+    rows = scan_fact_csv(spark, path)
+    return rows.filter(F.size(BAD_VALUES) == 0).drop(BAD_VALUES), rows.filter(F.size(BAD_VALUES) > 0)
 
 
 def read_stem_list(spark: SparkSession, path: str) -> DataFrame:
@@ -216,24 +278,50 @@ def read_lookup_csv(spark: SparkSession, path: str) -> DataFrame:
     return df.withColumnsRenamed({c: c.lower() for c in df.columns if c.lower() != c})
 
 
+def _commits(spark: SparkSession, root: str) -> list[str]:
+    """Names of the complete snapshots, oldest first (a row per write)."""
+    try:
+        rows = spark.read.schema("number int, snapshot string").parquet(f"{root}/commits").collect()
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return []
+    return [r["snapshot"] for r in sorted(rows, key=lambda r: (r["number"], r["snapshot"]))]
+
+
 def write_database(fact: DataFrame, institutions: DataFrame, root: str, overwrite: bool = False) -> dict[str, str]:
-    """Persist the three tables of the data model under ``root``:
+    """Persist the three tables of the data model as one snapshot under
+    ``root``, all of them or nothing:
 
     * ``cip_info``: distinct code dimension taken from the fact;
     * ``completions``: the fact without ``cip_title`` (kept in cip_info),
       partitioned by year;
     * ``institutions``: the institution dimension.
 
-    Refuses to replace existing tables unless ``overwrite``."""
+    Every write has a folder of its own, and one row appended to ``commits``
+    at the very end makes it the current one.  A write that fails earlier leaves
+    the former tables as they were, and readers that have them open keep them.
+    Refuses to replace existing tables unless ``overwrite``; of writers at the
+    same time, the last to commit wins."""
     from equiscope.plans.engine import cip_table
 
-    mode = "overwrite" if overwrite else "errorifexists"
-    paths = {name: f"{root.rstrip('/')}/{name}" for name in ("completions", "cip_info", "institutions")}
-    cip_table(fact).write.mode(mode).parquet(paths["cip_info"])
-    write_fact(fact.drop("cip_title"), paths["completions"], overwrite=overwrite)
-    institutions.write.mode(mode).parquet(paths["institutions"])
+    spark, root = fact.sparkSession, root.rstrip("/")
+    done = _commits(spark, root)
+    if done and not overwrite:
+        raise FileExistsError(f"{root} holds a database")
+    name = uuid.uuid4().hex
+    paths = {t: f"{root}/snapshots/{name}/{t}" for t in DATABASE_TABLES}
+    write_fact(fact.drop("cip_title"), paths["completions"])
+    cip_table(fact).write.parquet(paths["cip_info"])
+    institutions.write.parquet(paths["institutions"])
+    commit = spark.createDataFrame([(len(done), name)], "number int, snapshot string")
+    commit.coalesce(1).write.mode("append").parquet(f"{root}/commits")
     return paths
 
 
 def read_database(spark: SparkSession, root: str) -> dict[str, DataFrame]:
-    return {name: spark.read.parquet(f"{root.rstrip('/')}/{name}") for name in ("completions", "cip_info", "institutions")}
+    """The tables of the last complete snapshot."""
+    done = _commits(spark, root.rstrip("/"))
+    if not done:
+        raise FileNotFoundError(f"{root} holds no complete database")
+    return {t: spark.read.parquet(f"{root.rstrip('/')}/snapshots/{done[-1]}/{t}") for t in DATABASE_TABLES}

@@ -60,3 +60,24 @@ def test_registered_queries_read_all_years():
 
     part = {n for n, s in CANNED.items() if s["filters"]["start_year"] > 1995 or s["filters"]["end_year"] < 2001}
     assert part == {"filter_base", "filter_year_range_empty"}
+
+
+def test_year_range_reaches_the_orders_scan(spark):
+    from equiscope.plans.registry import CANNED, run_canned
+
+    spark.conf.set("spark.sql.maxMetadataStringLength", "4000")
+    try:
+        plan = run_canned(spark, "/root/testdata/sf0.001", CANNED["filter_base"])._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
+    scan = next(x for x in plan.split("\n") if "o_orderdate" in x and "PushedFilters" in x)
+    assert "GreaterThanOrEqual(o_orderdate,1996-01-01T00:00)" in scan and "LessThan(o_orderdate,2000-01-01T00:00)" in scan
+
+
+def test_distinct_counts_do_not_copy_rows(spark):
+    from equiscope.operators.reports import count_distinct_domains
+
+    df = spark.range(100).selectExpr("id % 3 as a", "if(id % 5 = 0, null, id % 5) as b", "id as c")
+    out = count_distinct_domains(df, ["a", "b", "c"])
+    assert "Expand" not in out._jdf.queryExecution().executedPlan().toString()
+    assert out.first().asDict() == {"n_a": 3, "n_b": 4, "n_c": 100}

@@ -143,6 +143,62 @@ def test_database_roundtrip(spark, fixture_fact, all_filters):
     assert df.count() == 12
 
 
+def test_failed_write_keeps_the_former_tables(spark, fixture_fact):
+    """The institutions, written last, fail: the database is as it was."""
+    inst = spark.createDataFrame([(1, "University 1")], "unitid long, institution_name string")
+    root = FS.scratch_path(spark, "test-db-fail")
+    with pytest.raises(FileNotFoundError):
+        FS.read_database(spark, root)
+    FS.write_database(fixture_fact, inst, root)
+    before = {t: sorted(map(str, d.collect())) for t, d in FS.read_database(spark, root).items()}
+    opened = FS.read_database(spark, root)
+    broken = inst.withColumn("institution_name", F.raise_error(F.lit("broken")).cast("string"))
+    with pytest.raises(Exception, match="broken"):
+        FS.write_database(fixture_fact.limit(3), broken, root, overwrite=True)
+    assert {t: sorted(map(str, d.collect())) for t, d in FS.read_database(spark, root).items()} == before
+    FS.write_database(fixture_fact.limit(3), inst, root, overwrite=True)
+    assert FS.read_database(spark, root)["completions"].count() == 3
+    assert {t: sorted(map(str, d.collect())) for t, d in opened.items()} == before
+
+
+def write_lines(path, *lines):
+    with open(path, "w") as fh:
+        fh.write("\n".join(lines) + "\n")
+
+
+def test_typed_loader_checks_headers_and_values(spark):
+    names = FS.FACT_SCHEMA.names
+    row = {"year": "2001", "unitid": "7", "cipcode": "01.0100", "awlevel": "x", "majornum": "1", "cip2020": "01.0100",
+           "race_ethnicity": "r", "gender": "g", "n_awards": "12", "cip_title": "t", "ncses_sci_group": "a",
+           "ncses_field_group": "b", "ncses_detailed_field_group": "c", "nsf_broad_field": "d", "dhs_stem": "true"}
+    root = tempfile.mkdtemp(prefix="eqs-typed-")
+    write_lines(f"{root}/a.csv", ",".join(names), ",".join(row[n] for n in names))
+    write_lines(f"{root}/b.csv", ",".join(names[::-1]), ",".join({**row, "unitid": "8"}[n] for n in names[::-1]))
+    got = FS.read_fact_csv(spark, root).orderBy("unitid").collect()
+    assert [r.unitid for r in got] == [7, 8] and all(r.n_awards == 12 and r.dhs_stem is True and r.cipcode == "01.0100" for r in got)
+    write_lines(f"{root}/c.csv", ",".join(names), ",".join({**row, "n_awards": "twelve", "unitid": "9"}[n] for n in names))
+    with pytest.raises(Exception, match="n_awards"):
+        FS.read_fact_csv(spark, root).select("unitid").collect()
+    good, bad = FS.read_fact_csv_with_rejects(spark, root)
+    assert good.count() == 2 and [(r.unitid, r.n_awards, r.bad_values) for r in bad.collect()] == [(9, None, ["n_awards"])]
+    write_lines(f"{root}/d.csv", ",".join([*names[:-1], "other"]), ",".join(row[n] for n in names))
+    with pytest.raises(ValueError, match="dhs_stem.*other"):
+        FS.read_fact_csv(spark, root)
+
+
+def test_headers_are_read_without_scanning_the_files(spark):
+    root = tempfile.mkdtemp(prefix="eqs-head-")
+    write_lines(f"{root}/a b.csv", "x,y", *["1,2"] * 300_000)
+    write_lines(f"{root}/b.csv", "y,x")
+    open(f"{root}/empty.csv", "w").close()
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64k")
+    try:
+        got = FS.file_headers(spark, f"{root}/*.csv")
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert [h for _, h in got] == ["x,y", "y,x"] and got[0][0].endswith("a%20b.csv")
+
+
 def test_read_lookup_csv(spark):
     root = tempfile.mkdtemp(prefix="eqs-lk-")
     with open(f"{root}/freq.csv", "w") as fh:
