@@ -42,11 +42,11 @@ def canonical(url: Column) -> Column:
     """Key of a url: no scheme, lower-case host without ``www.`` and default
     port, no fragment, no closing slash, query without ``utm_`` parameters
     and in order; null without ``://``."""
-    rest = F.regexp_replace(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://(.*)$", 1), "#.*$", "")
-    host = F.regexp_replace(F.regexp_replace(F.lower(F.regexp_extract(rest, "^[^/?]*", 0)), r"^www[0-9]*\.", ""), ":(80|443)$", "")
-    tail = F.regexp_extract(rest, "^[^/?]*(.*)$", 1)
-    path = F.regexp_replace(F.regexp_extract(tail, r"^[^?]*", 0), "/+$", "")
-    query = F.regexp_extract(tail, r"\?(.*)$", 1)
+    rest = F.regexp_replace(F.regexp_extract(url, r"(?s)^[A-Za-z][A-Za-z0-9+.-]*://(.*)\z", 1), r"(?s)#.*\z", "")
+    host = F.regexp_replace(F.regexp_replace(F.lower(F.regexp_extract(rest, "^[^/?]*", 0)), r"^www[0-9]*\.", ""), r":(80|443)\z", "")
+    tail = F.regexp_extract(rest, r"(?s)^[^/?]*(.*)\z", 1)
+    path = F.regexp_replace(F.regexp_extract(tail, r"^[^?]*", 0), r"/+\z", "")
+    query = F.regexp_extract(tail, r"(?s)\?(.*)\z", 1)
     kept = F.array_sort(F.filter(F.split(query, "&"), lambda p: (p != "") & ~F.startswith(p, F.lit("utm_"))))
     joined = F.array_join(kept, "&")
     return F.when(url.rlike("^[A-Za-z][A-Za-z0-9+.-]*://"), F.concat(host, path, F.when(joined != "", F.concat(F.lit("?"), joined)).otherwise("")))
@@ -151,13 +151,13 @@ def op6_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLE_SQL = rf"""
-WITH rest AS (SELECT page_id, url, regexp_replace(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(.*)$', 1), '#.*$', '') AS rest,
+WITH rest AS (SELECT page_id, url, regexp_replace(regexp_extract(url, '(?s)^[A-Za-z][A-Za-z0-9+.-]*://(.*)\z', 1), '(?s)#.*\z', '') AS rest,
     md5(coalesce(html, '')) AS digest, 1700000000 + (page_id * 7919) % {30 * DAY} AS ts,
     strlen(coalesce(html, ''))::VARCHAR AS size, page_id % 5 AS kind FROM pages WHERE page_id IS NOT NULL),
-cut AS (SELECT *, regexp_replace(regexp_replace(lower(regexp_extract(rest, '^[^/?]*')), '^www[0-9]*\.', ''), ':(80|443)$', '') AS host,
-    regexp_extract(rest, '^[^/?]*(.*)$', 1) AS tail FROM rest),
-parts AS (SELECT *, regexp_replace(regexp_extract(tail, '^[^?]*'), '/+$', '') AS path, array_to_string(list_sort(list_filter(
-    string_split(regexp_extract(tail, '\?(.*)$', 1), '&'), lambda p: p <> '' AND NOT starts_with(p, 'utm_'))), '&') AS query FROM cut),
+cut AS (SELECT *, regexp_replace(regexp_replace(lower(regexp_extract(rest, '^[^/?]*')), '^www[0-9]*\.', ''), ':(80|443)\z', '') AS host,
+    regexp_extract(rest, '(?s)^[^/?]*(.*)\z', 1) AS tail FROM rest),
+parts AS (SELECT *, regexp_replace(regexp_extract(tail, '^[^?]*'), '/+\z', '') AS path, array_to_string(list_sort(list_filter(
+    string_split(regexp_extract(tail, '(?s)\?(.*)\z', 1), '&'), lambda p: p <> '' AND NOT starts_with(p, 'utm_'))), '&') AS query FROM cut),
 p AS (SELECT *, host || path || CASE WHEN query <> '' THEN '?' || query ELSE '' END AS url_key,
     '"' || substr(digest, 1, 16) || '"' AS tag, 'day ' || (page_id % 28) AS modified, ts + 3600 * (1 + kind * 20) AS again,
     CASE kind WHEN 0 THEN '"' || substr(digest, 1, 16) || '"' WHEN 1 THEN 'W/"' || substr(digest, 1, 16) || '"' WHEN 2 THEN '"changed"' END AS asked_tag,

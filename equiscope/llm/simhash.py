@@ -148,13 +148,17 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
 def keep_first(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One document of each group, the one with the smallest id, with all
-    its columns.  Rows that repeat an id are one document: one of them stays.
-    Rows with a null id cannot be told apart by it; they all stay."""
+    its columns.  Rows that repeat an id are one document: the one with the
+    smallest text stays (nulls first, then ties by a hash of the other
+    columns).  Rows with a null id cannot be told apart by it; they all stay."""
     found = near_duplicates(docs, doc_id, text)
-    first = found.filter("doc_id = component_id").select("doc_id").distinct()
-    kept = first.withColumnRenamed("doc_id", "__first")
-    chosen = docs.join(kept, docs[doc_id] == kept["__first"]).drop("__first").dropDuplicates([doc_id])
-    return chosen.unionByName(docs.filter(docs[doc_id].isNull()))
+    first = found.filter("doc_id = component_id").select(F.col("doc_id").alias(doc_id)).distinct()
+    chosen = docs.join(first, doc_id, "left_semi")
+    whole = F.struct(*[chosen[f"`{c}`"] for c in docs.columns]).alias("row")
+    others = [chosen[f"`{c}`"].cast("string") for c in docs.columns if c != text]
+    order = F.struct(chosen[text].alias("text"), F.xxhash64(*others).alias("h")).alias("by")
+    one = chosen.select(chosen[doc_id].alias("id"), whole, order).groupBy("id").agg(F.min_by("row", "by").alias("row"))
+    return one.select("row.*").unionByName(docs.filter(docs[doc_id].isNull()))
 
 
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -108,6 +108,12 @@ def levels(host: Column) -> tuple[Column, Column]:
     return suffix, domain
 
 
+def domain_key(suffix: Column, domain: Column) -> Column:
+    """The suffix belongs to the key: the host 3.4 (no suffix) and the domain
+    3.4 of x.3.4 differ."""
+    return F.concat(domain, F.lit("/"), suffix)
+
+
 def _posteriors(nodes: DataFrame, parents: DataFrame | None, key: str, parent: str | None) -> DataFrame:
     """(key, n, mean, a, b): each node's beta posterior under its parent's
     mean.  ``parents`` None: the corpus, with a flat prior."""
@@ -136,7 +142,7 @@ def reputation(outcomes: DataFrame) -> dict[str, DataFrame]:
     suffix, domain = levels(F.col("host"))
     hosts = cut_lineage(
         outcomes.filter("bad is not null").groupBy("host").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("bad").cast("long")).alias("k"))
-        .select("host", domain.alias("domain"), suffix.alias("suffix"), F.lit(0).alias("corpus"), "n", "k")
+        .select("host", domain_key(suffix, domain).alias("domain"), suffix.alias("suffix"), F.lit(0).alias("corpus"), "n", "k")
     )
     total = [F.sum("n").alias("n"), F.sum("k").alias("k")]
     corpus = _posteriors(hosts.groupBy("corpus").agg(*total), None, "corpus", None)
@@ -158,7 +164,7 @@ def judge(pages: DataFrame, outcomes: DataFrame, rules: list[Rule], url: str = "
     out = pages.select(F.struct(*[pages[f"`{c}`"] for c in pages.columns]).alias("row"))
     out = out.withColumns({"host": host, "path": path})
     suffix, domain = levels(F.col("host"))
-    names = out.groupBy("host").agg(F.lit(1).alias("one")).select("host", domain.alias("domain"), suffix.alias("suffix"), F.lit(0).alias("corpus"))
+    names = out.groupBy("host").agg(F.lit(1).alias("one")).select("host", domain_key(suffix, domain).alias("domain"), suffix.alias("suffix"), F.lit(0).alias("corpus"))
     found = names
     by = reputation(outcomes)
     for level in ("host", "domain", "suffix", "corpus"):
@@ -215,7 +221,8 @@ split AS (SELECT *, string_split(name, '.') AS l, len(string_split(name, '.')) A
     regexp_matches(name, '^[0-9.]+$') AS digits FROM named),
 wide AS (SELECT *, c > 1 AND array_to_string(l[greatest(c - 1, 1):c], '.') IN ({", ".join(repr(s) for s in TWO_LABEL_SUFFIXES)}) AS w FROM split),
 leveled AS (SELECT page_id, host, path,
-    CASE WHEN digits THEN name ELSE array_to_string(l[greatest(c - (CASE WHEN w THEN 3 ELSE 2 END) + 1, 1):c], '.') END AS domain,
+    CASE WHEN digits THEN name ELSE array_to_string(l[greatest(c - (CASE WHEN w THEN 3 ELSE 2 END) + 1, 1):c], '.') END || '/' ||
+        CASE WHEN digits THEN '' WHEN w THEN array_to_string(l[greatest(c - 1, 1):c], '.') ELSE l[c] END AS domain,
     CASE WHEN digits THEN '' WHEN w THEN array_to_string(l[c - 1:c], '.') ELSE l[c] END AS suffix, 0 AS corpus FROM wide),
 hosts AS (SELECT host, domain, suffix, corpus, count(*)::DOUBLE AS n, sum(CASE WHEN quality = 0 THEN 1 ELSE 0 END)::DOUBLE AS k
     FROM leveled JOIN labels ON page_id = doc_id WHERE quality IS NOT NULL GROUP BY ALL),

@@ -74,3 +74,9 @@ def test_query_against_sql(spark, sf):
     cols = ["record_id", "url_key", "refers_to", "outcome", "headers", "digest"]
     expected = con.execute(f"SELECT {', '.join(cols)} FROM ({revisits.ORACLE_SQL}) ORDER BY 1").fetchall()
     assert [tuple(r) for r in op6_revisits(spark, sf).select(*cols).orderBy("record_id").collect()] == expected
+
+
+def test_urls_with_line_breaks_stay_apart(spark):
+    urls = ["http://a.com/x\ny", "http://b.com/p\nq", "http://a.com/x", "http://A.com/x\ny#f\ng", "http://a.com/x?k\n=1&b\n", "http://a.com/\n"]
+    keys = [r[0] for r in spark.createDataFrame([(u,) for u in urls], "u string").coalesce(1).select(canonical(F.col("u"))).collect()]
+    assert keys == ["a.com/x\ny", "b.com/p\nq", "a.com/x", "a.com/x\ny", "a.com/x?b\n&k\n=1", "a.com/\n"]

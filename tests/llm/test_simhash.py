@@ -2,6 +2,7 @@ import random
 
 import numpy as np
 import xxhash
+from pyspark.sql import functions as F
 
 from equiscope.llm import components, simhash
 from equiscope.llm.simhash import close_pairs, keep_first, near_duplicates, near_groups
@@ -120,3 +121,15 @@ def test_components_of_a_long_chain(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(300)] + [(900, 901), (7, 7), (None, 3)], "a long, b long")
     got = {r.id: r.component for r in components.components(edges).collect()}
     assert got == {**{i: 0 for i in range(1, 301)}, 901: 900}
+
+
+def test_keep_first_with_clashing_names_and_repeated_ids(spark, docs_of):
+    words = [" ".join(f"w{i}x{j}" for j in range(40)) for i in range(4)]
+    rows = [(1, words[0]), (2, words[0]), (3, words[1]), (3, words[2]), (3, words[2]), (None, words[3]), (None, words[3])]
+    names = ("__first", "id", "row", "by", "h", "component_id", "fingerprint")
+    docs = docs_of(rows).withColumns({c: F.lit(c) for c in names})
+    got = [simhash.keep_first(d) for d in (docs, docs.repartition(5))]
+    assert all(g.columns == docs.columns for g in got)
+    kept = [sorted((r.doc_id or 0, r.text) for r in g.collect()) for g in got]
+    assert kept[0] == kept[1] and [i for i, _ in kept[0]].count(0) == 2
+    assert [t for i, t in kept[0] if i == 1] == [words[0]] and sum(i == 2 for i, _ in kept[0]) == 0

@@ -49,11 +49,11 @@ def test_shrinkage_against_plain_version(spark):
     got = {k: {r[0]: r for r in v.collect()} for k, v in reputation(spark.createDataFrame(rows, "host string, bad boolean")).items()}
     n, k = defaultdict(int), defaultdict(int)
     for h, bad in rows:
-        for key in (("host", h), ("domain", ".".join(h.split(".")[-2:])), ("suffix", h.split(".")[-1]), ("corpus", 0)):
+        for key in (("host", h), ("domain", ".".join(h.split(".")[-2:]) + "/" + h.split(".")[-1]), ("suffix", h.split(".")[-1]), ("corpus", 0)):
             n[key] += 1
             k[key] += bad
     means = {("corpus", 0): (k["corpus", 0] + 1) / (n["corpus", 0] + 2)}
-    up = {"host": lambda h: ("domain", ".".join(h.split(".")[-2:])), "domain": lambda d: ("suffix", d.split(".")[-1]), "suffix": lambda s: ("corpus", 0)}
+    up = {"host": lambda h: ("domain", ".".join(h.split(".")[-2:]) + "/" + h.split(".")[-1]), "domain": lambda d: ("suffix", d.split("/")[-1]), "suffix": lambda s: ("corpus", 0)}
     for level in ("suffix", "domain", "host"):
         nodes = [x for x in n if x[0] == level]
         over = sum((k[x] - n[x] * means[up[level](x[1])]) ** 2 - n[x] * means[up[level](x[1])] * (1 - means[up[level](x[1])]) for x in nodes)
@@ -84,3 +84,17 @@ def test_verdicts_and_odd_tables(spark):
     assert {r.verdict for r in out if r.host == "bad.net"} == {"block"} and {r.n_labelled for r in out if r.host == "bad.net"} == {40}
     assert {r.verdict for r in judge(pages, outcomes.limit(0), []).collect()} == {"allow"}
     assert judge(pages.limit(0), outcomes, RULES).count() == 0
+
+
+def test_all_digit_hosts_do_not_repeat_pages(spark, tmp_path):
+    """The host 3.4 has no suffix, x.3.4 has one: both are called 3.4 without it."""
+    pages = [(i, u, "") for i, u in enumerate(["http://3.4/", "http://x.3.4/", "http://y.3.4/a", "http://3.4/b"])]
+    spark.createDataFrame(pages, "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    labels = [(i, i % 2, 0) for i in range(4)]
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    got = urls.op1_url_filter(spark, str(tmp_path))
+    assert sorted(r.page_id for r in got.collect()) == [0, 1, 2, 3]
+    con = duckdb.connect()
+    for t in ("pages", "labels"):
+        con.execute(f"create view {t} as select * from '{tmp_path}/{t}.parquet/*.parquet'")
+    assert sorted(map(str, con.execute(urls.ORACLE_SQL).fetchall())) == sorted(str(tuple(r)) for r in got.collect())
