@@ -38,7 +38,7 @@ from equiscope.llm.text import U64, Texts, mix
 MU = 4.0
 UNIT = 1 << 20
 #: Bytes of text whose entries make a range of hashes.
-RANGE_BYTES = 8 << 20
+RANGE_BYTES = 4 << 20
 GRAM_BITS = 40
 #: Gram, text, occurrences in it (negative: as a context), log of what is added to the count.
 ENTRY = np.dtype([("gram", "<u8"), ("text", "<u4"), ("n", "<i4"), ("base", "<f2")])
@@ -131,12 +131,14 @@ def _scored(table: pa.Table) -> pa.Table:
     keys = [np.frombuffer(k, np.int64) for k in table.column("keys").to_pylist()]
     found = [_read(e) for e in table.column("entries").to_pylist()]
     shift = np.cumsum([0, *map(len, keys)][:-1])
-    text = np.concatenate([e["text"] + s for e, s in zip(found, shift, strict=True)])
-    e = np.concatenate(found)
     keys, ids = np.unique(np.concatenate(keys), return_inverse=True)
-    text = ids[text]
+    ids = ids.astype(np.uint32)
+    text = np.concatenate([ids[e["text"] + s] for e, s in zip(found, shift, strict=True)])
+    e = np.concatenate(found)
+    del found, ids
     by = np.lexsort((text, e["gram"]))
     e, text = e[by], text[by]
+    del by
     gram_new = np.concatenate([[True], e["gram"][1:] != e["gram"][:-1]])
     of_gram = np.cumsum(gram_new) - 1
     size = np.abs(e["n"].astype(np.int64))
