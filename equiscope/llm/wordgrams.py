@@ -7,18 +7,24 @@ model (:mod:`ngram`).  A text is scored without its own counts: those of the
 text and of its exact copies are taken off, else a text of invented words
 would vouch for itself.
 
-The logarithm is a sum of one term per 2-gram and one per context, each of
-which needs only the count of one gram.  So every distinct gram of a text is
-one entry, entries are dealt by ranges of the gram's hash, and a range's
-entries hold all that is needed to count its grams and to score with them:
+Every different text is dealt to one block by its hash, with the number of
+its copies; copies are joined where they are read, so a text that fills a
+third of all rows crosses the exchange once per task.  A block sends one
+entry per distinct gram, with its count, to the gram's bucket (a range of
+hashes).  A bucket adds up and answers each block with the count outside
+it, in the order of the block's entries; the block then scores its own texts.
+A word that stands in every text has an entry per block, not per text, and
 the tables are never collected or broadcast.  Partial scores are whole
 numbers of ``1 / UNIT``, so equal texts get equal sums in any order.
 
-Texts are known by a 64-bit hash (:func:`text_key`), grams by their range and
-``GRAM_BITS`` bits more.  A gram has an entry per text that holds it, so a
-range is at least as large as the number of texts that share its most common
-word.  Entries are written column by column, as the shuffle's compression
-needs it; the spelling's logarithm is rounded to 11 bits.
+Texts are known by a 64-bit hash (:func:`text_key`), grams by their bucket and
+``GRAM_BITS`` bits more: of the 2 million or so different grams of a bucket,
+one in 50,000 shares its key with another.  Entries are sorted, and written as
+differences, byte plane by byte plane; they and the texts cross the exchanges
+compressed.
+
+Defined results: null texts and texts without a word have no row.  Repeated
+rows count each time and have one row.  An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -27,23 +33,25 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from equiscope.llm import ngram
-from equiscope.llm.rows import chunks
-from equiscope.llm.text import U64, Texts, mix
+from equiscope.llm.text import CHUNK_BYTES, U64, Texts, mix
 
 #: Weight of the spelling, in occurrences of the context.
 MU = 4.0
 UNIT = 1 << 20
-#: Bytes of text whose entries make a range of hashes.
-RANGE_BYTES = 4 << 20
-GRAM_BITS = 40
-#: Gram, text, occurrences in it (negative: as a context), log of what is added to the count.
-ENTRY = np.dtype([("gram", "<u8"), ("text", "<u4"), ("n", "<i4"), ("base", "<f2")])
-#: What is written of an entry: the gram's low bits in two parts, the others whole.
-WRITTEN = np.dtype([("low", "<u4"), ("high", "u1"), ("text", "<u4"), ("n", "<i4"), ("base", "<f2")])
+#: Bytes of text in a block, and those whose grams make a range of hashes.
+BLOCK_BYTES = 32 << 20
+RANGE_BYTES = 16 << 20
+#: Small tables get smaller blocks and ranges, down to this, so that all cores have some.
+LEAST_BYTES = 2 << 20
+#: Entries of a block that are held before they are added up.
+HELD = 1 << 21
+GRAM_BITS = 36
+_LOW = U64((1 << GRAM_BITS) - 1)
 KEY = "text_key"
 
 
@@ -51,32 +59,64 @@ def text_key(text):
     return F.xxhash64(text).alias(KEY)
 
 
-def _write(e: np.ndarray) -> bytes:
-    low, high = e["gram"].astype("<u4"), (e["gram"] >> U64(32)).astype("u1")
-    return b"".join(x.tobytes() for x in (low, high, e["text"], e["n"], e["base"]))
+def _write(values: np.ndarray) -> bytes:
+    """Width, then the low bytes of all numbers, the next bytes, and so on; compressed."""
+    width = max(-(-int(values.max()).bit_length() // 8), 1)
+    planes = values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T
+    return zstandard.ZstdCompressor().compress(bytes([width]) + planes.tobytes())
 
 
 def _read(data: bytes) -> np.ndarray:
-    e, at = np.empty(len(data) // WRITTEN.itemsize, ENTRY), 0
-    columns = {}
-    for name in WRITTEN.names:
-        columns[name] = np.frombuffer(data, WRITTEN[name], len(e), at)
-        at += columns[name].nbytes
-    e["gram"] = columns["low"] | columns["high"].astype(U64) << U64(32)
-    for name in ("text", "n", "base"):
-        e[name] = columns[name]
-    return e
-
-
-def entries(texts: list[bytes | None], scorer: ngram.Scorer) -> np.ndarray:
-    """The entries of some texts, by text and gram."""
+    data = zstandard.ZstdDecompressor().decompress(data)
+    planes = np.frombuffer(data, np.uint8, offset=1).reshape(data[0], -1)
+    out = np.zeros((planes.shape[1], 8), np.uint8)
+    out[:, : data[0]] = planes.T
+    return out.view("<u8")[:, 0]
+
+
+def _texts(column: pa.ChunkedArray) -> Iterator[tuple[int, list[bytes]]]:
+    """(number of the first, texts) of some CHUNK_BYTES each."""
+    reader, held, size, first = zstandard.ZstdDecompressor(), [], 0, 0
+    for packed in column:
+        held.append(reader.decompress(packed.as_py()))
+        size += len(held[-1]) + 64
+        if size > CHUNK_BYTES:
+            yield first, held
+            first, held, size = first + len(held), [], 0
+    if held:
+        yield first, held
+
+
+def _add_up(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Different keys in order, and the sum of each."""
+    if not len(keys):
+        return keys, n
+    by = np.argsort(keys)
+    keys, n = keys[by], n[by]
+    new = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+    return keys[new], np.add.reduceat(n, new)
+
+
+def grams(x: Texts, ranges: int) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of the 2-gram that ends with each word, and of its context."""
+    word = x.word_hashes()
+    before = np.concatenate([word[:1], word[:-1]])
+    before[x.bounds[:-1][x.counts > 0]] = U64(0)
+    pair = mix(mix(before) * U64(0x9E3779B97F4A7C15) ^ word)
+    context = mix(before ^ U64(0x5851F42D4C957F2D))
+    keys = np.stack([pair, context])
+    return tuple(((keys >> U64(32)) * U64(ranges) >> U64(32)) << U64(GRAM_BITS) | keys & _LOW)
+
+
+def entries(texts: list[bytes | None], scorer: ngram.Scorer, ranges: int):
+    """(key, text, n, base) of every text and distinct gram: occurrences in the
+    text (negative: as a context), log of what is added to the count."""
     x = Texts(texts)
-    if not len(x.starts):
-        return np.empty(0, ENTRY)
-    of, word = x.word_text, x.word_hashes()
+    of = x.word_text
+    if not len(of):
+        return np.empty(0, U64), of, np.empty(0, np.int64), np.empty(0)
+    pair, context = grams(x, ranges)
     first = x.bounds[:-1][x.counts > 0]
-    before = np.concatenate([word[:1], word[:-1]])
-    before[first] = U64(0)
     # the bytes from a word to the next one of its text; the first has also what stands before it
     logs, bounds = scorer.per_byte(texts)
     sums = np.concatenate([[0], np.cumsum(np.rint(logs.astype(np.float64) * UNIT).astype(np.int64))])
@@ -85,76 +125,136 @@ def entries(texts: list[bytes | None], scorer: ngram.Scorer) -> np.ndarray:
     upto = np.append(at[1:], 0)
     upto[np.append(first[1:], len(at)) - 1] = bounds[of[first] + 1]
     spelling = sums[upto] - sums[at]
-    pair = mix(mix(before) * U64(0x9E3779B97F4A7C15) ^ word)
-    context = mix(before ^ U64(0x5851F42D4C957F2D))
     out = []
-    for gram, base, sign in ((pair, spelling, 1), (context, None, -1)):
-        by = np.lexsort((gram, of))
-        g, t = gram[by], of[by]
-        new = np.flatnonzero(np.concatenate([[True], (g[1:] != g[:-1]) | (t[1:] != t[:-1])]))
-        part = np.empty(len(new), ENTRY)
-        n = np.diff(np.append(new, len(g)))
-        part["gram"], part["text"], part["n"] = g[new], t[new], sign * n
-        part["base"] = np.log(MU) if base is None else np.log(MU) + np.add.reduceat(base[by], new) / n / UNIT
-        out.append(part)
-    return np.concatenate(out)
-
-
-def _dealt(docs: DataFrame, model: ngram.KneserNey, text: str, ranges: int) -> DataFrame:
-    """(part, keys, entries): a row per chunk of texts and range of hashes."""
-
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = ngram.Scorer(model)
-        for batch in batches:
-            keys = batch.column(0).to_numpy()
-            for a, b, texts in chunks(batch.column(1)):
-                e = entries(texts, scorer)
-                part = ((e["gram"] >> U64(32)) * U64(ranges) >> U64(32)).astype(np.int64)
-                by = np.argsort(part, kind="stable")
-                e, part = e[by], part[by]
-                here, at = np.unique(part, return_index=True)
-                held, found = [], []
-                for piece in np.split(e, at[1:]):
-                    if len(piece):
-                        own, piece["text"] = np.unique(piece["text"], return_inverse=True)
-                        held.append(keys[a:b][own].tobytes())
-                        found.append(_write(piece))
-                yield pa.record_batch({"part": pa.array(here, pa.int64()), "keys": pa.array(held, pa.binary()), "entries": pa.array(found, pa.binary())})
-
-    return docs.select(text_key(F.col(text)), F.col(text).alias("text")).mapInArrow(
-        run, "part long, keys binary, entries binary"
-    )
-
-
-def _scored(table: pa.Table) -> pa.Table:
-    """Count the grams of a range and add up the terms of every text."""
-    keys = [np.frombuffer(k, np.int64) for k in table.column("keys").to_pylist()]
-    found = [_read(e) for e in table.column("entries").to_pylist()]
-    shift = np.cumsum([0, *map(len, keys)][:-1])
-    keys, ids = np.unique(np.concatenate(keys), return_inverse=True)
-    ids = ids.astype(np.uint32)
-    text = np.concatenate([ids[e["text"] + s] for e, s in zip(found, shift, strict=True)])
-    e = np.concatenate(found)
-    del found, ids
-    by = np.lexsort((text, e["gram"]))
-    e, text = e[by], text[by]
-    del by
-    gram_new = np.concatenate([[True], e["gram"][1:] != e["gram"][:-1]])
-    of_gram = np.cumsum(gram_new) - 1
-    size = np.abs(e["n"].astype(np.int64))
-    all_ = np.add.reduceat(size, np.flatnonzero(gram_new))[of_gram]
-    first = np.flatnonzero(gram_new | np.concatenate([[True], text[1:] != text[:-1]]))
-    others = all_[first] - np.add.reduceat(size, first)  # without the text and its copies
-    with np.errstate(divide="ignore"):
-        term = e["n"][first] * np.logaddexp(np.log(others), e["base"][first].astype(np.float64))
-    total = np.bincount(text[first], np.rint(term * UNIT), len(keys))  # whole numbers, exact
-    return pa.table({KEY: keys, "log_p": total.astype(np.int64)})
+    for key, base, sign in ((pair, spelling, 1), (context, None, -1)):
+        by = np.lexsort((key, of))
+        k, t = key[by], of[by]
+        new = np.flatnonzero(np.concatenate([[True], (k[1:] != k[:-1]) | (t[1:] != t[:-1])]))
+        n = np.diff(np.append(new, len(k)))
+        added = np.zeros(len(new)) if base is None else np.add.reduceat(base[by], new) / n / UNIT
+        out.append((k[new], t[new], sign * n, np.log(MU) + added))
+    return tuple(np.concatenate(column) for column in zip(*out, strict=True))
+
+
+def block_grams(table: pa.Table, ranges: int) -> tuple[np.ndarray, np.ndarray]:
+    """The different grams of a block, in order, and their occurrences."""
+    copies = table.column("copies").to_numpy()
+    keys, counts = [np.empty(0, U64)], [np.empty(0, np.int64)]
+    for first, texts in _texts(table.column("text")):
+        x = Texts(texts)
+        k, n = _add_up(np.concatenate(grams(x, ranges)), np.tile(copies[first : first + len(texts)][x.word_text], 2))
+        keys.append(k)
+        counts.append(n)
+        if sum(map(len, keys[1:])) > HELD:
+            k, n = _add_up(np.concatenate(keys), np.concatenate(counts))
+            keys, counts = [k], [n]
+    return _add_up(np.concatenate(keys), np.concatenate(counts))
+
+
+def _once(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Every text of the task once, compressed; what its copies add comes without the text."""
+    writer, more = zstandard.ZstdCompressor(), {}
+
+    def rows(keys, texts, copies):
+        return pa.record_batch([pa.array(keys, pa.int64()), pa.array(texts, pa.binary()), pa.array(copies, pa.int64())], names=[KEY, "text", "copies"])
+
+    for batch in batches:
+        keys, texts = [], []
+        for key, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            if key in more:
+                more[key] += 1
+            else:
+                more[key] = 0
+                keys.append(key)
+                texts.append(writer.compress(text.as_buffer()))
+        yield rows(keys, texts, np.ones(len(keys), np.int64))
+    more = {key: n for key, n in more.items() if n}
+    yield rows(list(more), [None] * len(more), list(more.values()))
+
+
+def _blocks(docs: DataFrame, text: str, n: int) -> DataFrame:
+    """(block, text_key, text, copies), a row per different text.  The grouping
+    by block and key needs no exchange beyond the one by block, and takes the
+    tasks' copies of a text one after the other."""
+    held = docs.filter(F.col(text).isNotNull()).select(text_key(F.col(text)), F.col(text).cast("binary").alias("text"))
+    once = held.mapInArrow(_once, f"{KEY} long, text binary, copies long")
+    dealt = once.withColumn("block", F.pmod(F.col(KEY), F.lit(n))).repartition("block")
+    return dealt.groupBy("block", KEY).agg(F.first("text", ignorenulls=True).alias("text"), F.sum("copies").alias("copies"))
+
+
+def _counted(blocks: DataFrame, ranges: int) -> DataFrame:
+    """(block, part, outside): for the block's different grams of a range, in
+    order, their occurrences in other blocks."""
+
+    def send(table: pa.Table) -> pa.Table:
+        keys, counts = block_grams(table, ranges)
+        cuts = np.searchsorted(keys >> U64(GRAM_BITS), np.arange(ranges + 1, dtype=U64))
+        some = np.flatnonzero(np.diff(cuts))
+        spans = [slice(cuts[i], cuts[i + 1]) for i in some]
+        return pa.table({
+            "block": pa.repeat(table.column("block")[0], len(some)), "part": pa.array(some, pa.int64()),
+            "grams": pa.array([_write(np.diff(keys[s] & _LOW, prepend=U64(0))) for s in spans], pa.binary()),
+            "counts": pa.array([_write(counts[s]) for s in spans], pa.binary()),
+        })
+
+    def answer(table: pa.Table) -> pa.Table:
+        found = [np.cumsum(_read(g.as_py()), dtype=U64) for g in table.column("grams")]
+        ends = np.cumsum([len(f) for f in found])
+        keys = np.concatenate(found)
+        del found
+        counts = np.concatenate([_read(c.as_py()) for c in table.column("counts")]).astype(np.int64)
+        by = np.argsort(keys)
+        ordered = keys[by]
+        new = np.concatenate([[True], ordered[1:] != ordered[:-1]])
+        del keys, ordered
+        n = counts[by]
+        outside = np.empty(len(n), np.int64)
+        outside[by] = np.add.reduceat(n, np.flatnonzero(new))[np.cumsum(new) - 1] - n
+        return pa.table({
+            "block": table.column("block"), "part": table.column("part"),
+            "outside": pa.array([_write(o) for o in np.split(outside, ends[:-1])], pa.binary()),
+        })
+
+    sent = blocks.groupBy("block").applyInArrow(send, "block long, part long, grams binary, counts binary")
+    return sent.groupBy("part").applyInArrow(answer, "block long, part long, outside binary")
+
+
+def _scored(blocks: DataFrame, counted: DataFrame, model: ngram.KneserNey, ranges: int) -> DataFrame:
+    """The terms of the block's own texts, added up."""
+    held = []
+
+    def run(table: pa.Table, answers: pa.Table) -> pa.Table:
+        if not held:
+            held.append(ngram.Scorer(model))
+        copies = table.column("copies").to_numpy()
+        keys, counts = block_grams(table, ranges)
+        at = 0
+        for o in answers.sort_by("part").column("outside"):
+            found = _read(o.as_py()).astype(np.int64)
+            counts[at : at + len(found)] += found
+            at += len(found)
+        if at != len(keys):
+            raise RuntimeError("the answers do not fit the grams of the block")
+        total, worded = [], []
+        for first, texts in _texts(table.column("text")):
+            key, of, n, base = entries(texts, held[0], ranges)
+            own = np.abs(n) * copies[first + of]
+            others = counts[np.searchsorted(keys, key)] - own  # without the text and its copies
+            with np.errstate(divide="ignore"):
+                term = n * np.logaddexp(np.log(others), base)
+            total.append(np.bincount(of, np.rint(term * UNIT), len(texts)).astype(np.int64))  # whole numbers, exact
+            worded.append(np.bincount(of, minlength=len(texts)) > 0)
+        worded = np.concatenate(worded)
+        return pa.table({KEY: table.column(KEY).to_numpy()[worded], "log_p": np.concatenate(total)[worded]})
+
+    return blocks.groupBy("block").cogroup(counted.groupBy("block")).applyInArrow(run, f"{KEY} long, log_p long")
 
 
 def log_p(docs: DataFrame, model: ngram.KneserNey, text: str = "text") -> DataFrame:
     """(text_key, log_p long): the log probability of every different
     text with words, in units of ``1 / UNIT``."""
     size = docs.agg(F.sum(F.octet_length(F.col(text)))).first()[0] or 0
-    parts = _dealt(docs, model, text, size // RANGE_BYTES + 1)
-    terms = parts.groupBy("part").applyInArrow(_scored, "text_key long, log_p long")
-    return terms.groupBy(KEY).agg(F.sum("log_p").alias("log_p"))
+    least = min(docs.sparkSession.sparkContext.defaultParallelism, size // LEAST_BYTES)
+    ranges = 1 + max(size // RANGE_BYTES, least)
+    blocks = _blocks(docs, text, 1 + max(size // BLOCK_BYTES, least))
+    return _scored(blocks, _counted(blocks, ranges), model, ranges)

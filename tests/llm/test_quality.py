@@ -187,8 +187,9 @@ def test_word_model_against_plain_version(spark, docs_of, monkeypatch):
     docs = docs_of([(i, t) for i, t in enumerate([*texts, *texts[:5], None, "", " \n"])])
     model = ngram.fit(docs)
     expected = plain_word_log_p(model, [*texts, *texts[:5]])
-    for size in (1 << 20, 50):  # the number of ranges does not matter
+    for size, block in ((1 << 20, 1 << 20), (50, 1 << 20), (1 << 20, 60), (50, 60)):  # the numbers of ranges and blocks do not matter
         monkeypatch.setattr(wordgrams, "RANGE_BYTES", size)
+        monkeypatch.setattr(wordgrams, "BLOCK_BYTES", block)
         keyed = docs.select("text", wordgrams.text_key(F.col("text"))).distinct()
         got = {x.text: x.log_p / wordgrams.UNIT for x in keyed.join(wordgrams.log_p(docs, model), wordgrams.KEY).collect()}
         assert got == pytest.approx(expected, rel=1e-3)
@@ -242,3 +243,24 @@ def test_copies_do_not_set_the_band(spark, docs_of):
             copies.append((1000 + i, " ".join(words)))
         new_width, kept = judged(rows + copies)
         assert new_width > 0.6 * width and len(alone & kept) > 0.95 * len(alone)
+
+
+def test_a_gram_of_every_text_has_an_entry_per_block(spark, docs_of, monkeypatch):
+    """No unsplit hot gram: what meets in a range grows with the blocks, not with the texts."""
+    docs = docs_of([(i, f"of the {i} of the {i % 7}") for i in range(500)] + [(1000 + i, "of the same") for i in range(400)])
+    blocks = wordgrams._blocks(docs, "text", 4)
+    rows = blocks.collect()
+    assert sorted(r.copies for r in rows) == [1] * 500 + [400] and len({r[wordgrams.KEY] for r in rows}) == 501
+    counted = wordgrams._counted(blocks, 3).collect()
+    assert len(counted) <= 4 * 3 and len({(r.block, r.part) for r in counted}) == len(counted)
+    entries = sum(len(wordgrams._read(r.outside)) for r in counted)
+    assert entries < 4 * (2 * 500 + 40)  # 2-grams and contexts; an entry per text would be 900 * 5
+    got = {r.log_p for r in wordgrams.log_p(docs, ngram.fit(docs)).collect()}
+    assert all(p < 0 for p in got)
+
+
+def test_written_numbers_come_back():
+    r = np.random.default_rng(4)
+    for top in (1, 255, 256, 1 << 39, 1 << 62):
+        a = r.integers(0, top, 50).astype(np.uint64)
+        assert wordgrams._read(wordgrams._write(a)).tolist() == a.tolist()
