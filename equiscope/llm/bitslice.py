@@ -20,11 +20,13 @@ Query blocks meet candidate blocks by an equi-join on the candidate block, one
 pair of packed blocks at a time: that is the stated query set against all
 rows, in blocks.
 
-Defined results: vectors that are null or empty, hold a null or a non-finite
-component, or one beyond ``LIMIT`` after scaling, and rows with a null id,
-take no part.  Rows that repeat id and vector count once; a candidate with the
+Defined results: vectors that are null or hold a null or a non-finite
+component, and rows with a null id, take no part.  Quantised components are
+64-bit whole numbers (beyond that, the nearest one).  Scores are exact and
+ranked as such at any size; one that does not fit a long is given as the
+nearest long.  Rows that repeat id and vector count once; a candidate with the
 query's own id never counts.  Vectors of different lengths are compared as if
-the shorter went on with zeros.  An empty table gives an empty result.
+the shorter went on with zeros, an empty one too.  An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -42,16 +44,16 @@ QUERY_EVERY = 100
 #: Rows per candidate block and queries per query block.
 BLOCK_ROWS = 16384
 QUERY_ROWS = 128
-#: Largest magnitude of a quantised component: scores stay within 64 bits.
-LIMIT = 1 << 24
+_ALL = (1 << 64) - 1
+_LOW = (1 << 63) - 1
 
 
 def quantise(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding", scale: int = SCALE) -> DataFrame:
     """(vec_id long, q array<long>), different rows."""
     x = F.col(embedding)
     q = F.transform(x, lambda v: F.floor(F.lit(scale).cast("double") * v.cast("double")))
-    bad = F.exists(x, lambda v: v.isNull() | F.isnan(v.cast("double")) | (F.abs(v.cast("double")) * scale > LIMIT))
-    taken = vectors.filter(F.col(vec_id).isNotNull() & x.isNotNull() & (F.size(x) > 0) & ~F.coalesce(bad, F.lit(True)))
+    bad = F.exists(x, lambda v: v.isNull() | F.isnan(v.cast("double")) | (F.abs(v.cast("double")) == float("inf")))
+    taken = vectors.filter(F.col(vec_id).isNotNull() & x.isNotNull() & ~F.coalesce(bad, F.lit(True)))
     return taken.select(F.col(vec_id).cast("long").alias("vec_id"), q.alias("q")).distinct()
 
 
@@ -62,7 +64,7 @@ class Slices:
         n, self.dims = rows.shape
         self.rows = n
         self.low = int(rows.min()) if rows.size else 0
-        shifted = (rows - self.low).astype(np.uint64)
+        shifted = rows.astype(np.uint64) - np.uint64(self.low & _ALL)  # the difference may pass 63 bits
         self.bits = max(int(shifted.max()).bit_length(), 1) if rows.size else 1
         words = -(-n // 64)
         padded = np.zeros((words * 64, self.dims), np.uint64)
@@ -85,11 +87,12 @@ class Slices:
             dims = np.flatnonzero(query > 0 if sign > 0 else query < 0)
             if not len(dims):
                 continue
-            size = np.abs(query[dims])
+            size = query[dims].astype(np.uint64)
+            size = size if sign > 0 else np.uint64(0) - size
             maps = self.maps[dims] if sign > 0 else ~self.maps[dims]
-            constant += int((query[dims] * (self.low if sign > 0 else self.low + top)).sum())
+            constant += sum(query[dims].tolist()) * (self.low if sign > 0 else self.low + top)
             for i in range(int(size.max()).bit_length()):
-                chosen = maps[(size >> i) & 1 == 1]
+                chosen = maps[(size >> np.uint64(i)) & np.uint64(1) == 1]
                 if len(chosen):
                     for j in range(self.bits):
                         weights.setdefault(i + j, []).append(chosen[:, j])
@@ -139,7 +142,8 @@ def _rows_of(bitmap: np.ndarray) -> np.ndarray:
 
 
 def search_block(index: Slices, ids: np.ndarray, query: np.ndarray, own: int, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """(ids, scores) of a query's best rows in a block; ids are ascending."""
+    """(ids, scores) of a query's best rows in a block; ids are ascending.
+    Scores of more than 62 bits come as Python integers."""
     size = min(len(query), index.dims)
     padded = np.zeros(index.dims, np.int64)
     padded[:size] = query[:size]
@@ -153,10 +157,26 @@ def search_block(index: Slices, ids: np.ndarray, query: np.ndarray, own: int, k:
     if len(rows) < k:
         rows = np.concatenate([rows, _rows_of(boundary)[: k - len(rows)]])  # ids ascend with rows
     bits = (slices[:, rows // 64] >> (rows % 64).astype(np.uint64)) & np.uint64(1)
+    if len(slices) > 62 or abs(constant) >> 62:
+        numbers = [sum(1 << i for i in np.flatnonzero(column).tolist()) + constant for column in bits.T]
+        return ids[rows], np.array(numbers, object)
     weights = np.uint64(1) << np.arange(len(slices), dtype=np.uint64)
     return ids[rows], (bits * weights[:, None]).sum(axis=0).astype(np.int64) + constant
 
 
+def _words(scores: np.ndarray) -> dict[str, np.ndarray]:
+    """The score as a long, and words (signed, then two of 63 bits) that order
+    as the exact scores do."""
+    if scores.dtype != object:
+        return {"score": scores, "high": scores >> 63, "mid": (scores >> 63) & _LOW, "low": scores & _LOW}
+    whole = scores.tolist()
+    columns = {
+        "score": [min(max(x, -_LOW - 1), _LOW) for x in whole], "high": [x >> 126 for x in whole],
+        "mid": [x >> 63 & _LOW for x in whole], "low": [x & _LOW for x in whole],
+    }
+    return {name: np.array(values, np.int64) for name, values in columns.items()}
+
+
 def _packed(vectors: DataFrame, blocks: int) -> DataFrame:
     """(block, dims, ids, vals): arrays of the rows of each block, in
     the order of their ids.  A block has BLOCK_ROWS rows or so."""
@@ -171,7 +191,7 @@ def _packed(vectors: DataFrame, blocks: int) -> DataFrame:
         values[np.arange(dims)[None, :] < sizes[:, None]] = lists.flatten().to_numpy()
         return pa.table({
             "block": table.column("block").slice(0, 1), "dims": pa.array([dims]),
-            "ids": pa.array([ids[by].tobytes()], pa.binary()), "vals": pa.array([values[by].astype(np.int32).tobytes()], pa.binary()),
+            "ids": pa.array([ids[by].tobytes()], pa.binary()), "vals": pa.array([values[by].tobytes()], pa.binary()),
         })
 
     dealt = vectors.withColumn("block", F.pmod(F.xxhash64("vec_id", "q"), F.lit(blocks)))
@@ -179,7 +199,7 @@ def _packed(vectors: DataFrame, blocks: int) -> DataFrame:
 
 
 def _unpack(ids: bytes, values: bytes, dims: int) -> tuple[np.ndarray, np.ndarray]:
-    return np.frombuffer(ids, np.int64), np.frombuffer(values, np.int32).astype(np.int64).reshape(-1, dims)
+    return np.frombuffer(ids, np.int64), np.frombuffer(values, np.int64).reshape(len(ids) // 8, dims)
 
 
 def _search(batches, k: int):
@@ -196,7 +216,7 @@ def _search(batches, k: int):
             yield pa.record_batch({
                 "query_id": pa.array(np.repeat(own, counts)),
                 "vec_id": pa.array(np.concatenate([b[0] for b in best])),
-                "score": pa.array(np.concatenate([b[1] for b in best])),
+                **{name: pa.array(values) for name, values in _words(np.concatenate([b[1] for b in best])).items()},
             })
 
 
@@ -211,8 +231,8 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
         F.col("dims").alias("q_dims"), F.col("ids").alias("q_ids"), F.col("vals").alias("q_vals"),
     )
     pairs = _packed(held, blocks).join(each, "block")
-    found = pairs.mapInArrow(lambda batches: _search(batches, k), "query_id long, vec_id long, score long")
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
+    found = pairs.mapInArrow(lambda batches: _search(batches, k), "query_id long, vec_id long, score long, high long, mid long, low long")
+    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("high"), F.desc("mid"), F.desc("low"), "vec_id"))
     return found.distinct().withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
@@ -222,11 +242,13 @@ def op2_bitsliced_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLE_SQL = f"""
-WITH v AS (SELECT DISTINCT vec_id, list_transform(embedding, lambda x: floor({SCALE} * x::DOUBLE)) AS q FROM embeddings
-    WHERE vec_id IS NOT NULL AND len(embedding) > 0
-      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x) OR abs(x::DOUBLE) * {SCALE} > {LIMIT})) = 0),
-s AS (SELECT a.vec_id AS query_id, b.vec_id, list_inner_product(a.q, b.q)::BIGINT AS score
+WITH f AS (SELECT DISTINCT vec_id, list_transform(embedding, lambda x: floor({SCALE} * x::DOUBLE)) AS q FROM embeddings
+    WHERE vec_id IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+v AS (SELECT vec_id, list_transform(q, lambda x: CASE WHEN x >= 9223372036854775807::DOUBLE THEN 9223372036854775807::HUGEINT
+    WHEN x < -9223372036854775808::DOUBLE THEN -9223372036854775808::HUGEINT ELSE x::HUGEINT END) AS q FROM f),
+s AS (SELECT a.vec_id AS query_id, b.vec_id, coalesce(list_sum(list_transform(list_zip(a.q, b.q, true), lambda z: z[1] * z[2])), 0) AS exact
     FROM v a JOIN v b ON a.vec_id % {QUERY_EVERY} = 0 AND a.vec_id <> b.vec_id),
-r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
-SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM r WHERE rank <= {K}
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY exact DESC, vec_id) AS rank FROM s)
+SELECT query_id, rank::INTEGER AS rank, vec_id,
+    greatest(least(exact, 9223372036854775807), -9223372036854775808)::BIGINT AS score FROM r WHERE rank <= {K}
 """

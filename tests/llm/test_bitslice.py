@@ -49,11 +49,33 @@ def brute(rows, queries, k):
     return out
 
 
+def clipped(rows):
+    return [(*r[:3], min(max(r[3], -(2**63)), 2**63 - 1)) for r in rows]
+
+
+def test_large_components_are_ranked_exactly(spark, tmp_path):
+    """All finite vectors take part, also where the score passes 64 bits."""
+    data = [(0, [1.0, 2.0]), (1, [20000.0, 1.0]), (2, [1.0, 1.0]), (3, [-2e18, 3e17]), (4, [2e15, 1e15]), (5, [2e15, 1e15 + 1]),
+            (6, [-1e300, 1e300]), (7, []), (100, [3e15, -5e15]), (200, [1e30, -1e30]), (300, [-7.0, 0.5])]
+    table = spark.createDataFrame(data, "vec_id long, embedding array<double>")
+    q = quantise(table)
+    rows = {r.vec_id: list(r.q) for r in q.collect()}
+    assert len(rows) == len(data)
+    expected = sorted(clipped(brute(rows, rows, 10)))
+    assert sorted(map(tuple, top_k(q, q).collect())) == expected
+    table.write.parquet(f"{tmp_path}/embeddings.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW embeddings AS SELECT * FROM read_parquet('{tmp_path}/embeddings.parquet/*.parquet')")
+    sql = sorted((a, b, c, d) for a, b, c, d in con.execute(bitslice.ORACLE_SQL).fetchall())
+    assert sql == sorted(map(tuple, op2_bitsliced_topk(spark, str(tmp_path)).collect()))
+    assert sql == sorted(clipped(brute(rows, [i for i in rows if i % 100 == 0], 10)))
+
+
 def test_odd_vectors(spark, vectors):
     q = quantise(vectors.withColumns({"q": F.lit(1), "block": F.lit(2)}))
     rows = {r.vec_id: list(r.q) for r in q.collect()}
-    assert sorted(rows) == [0, 1, 2, 8, 9, 10] and q.count() == 6
-    assert sorted(map(tuple, top_k(q, q, 3).collect())) == sorted(brute(rows, rows, 3))
+    assert sorted(rows) == [0, 1, 2, 4, 8, 9, 10, 11] and q.count() == 8 and rows[11] == [2**63 - 1, 0]
+    assert sorted(map(tuple, top_k(q, q, 3).collect())) == sorted(clipped(brute(rows, rows, 3)))
     assert top_k(q.limit(0), q.limit(0)).count() == 0 and top_k(q, q.limit(0)).count() == 0
 
 
