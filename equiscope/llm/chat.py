@@ -1,8 +1,9 @@
 """Chat formatting with Spark expressions only.
 
 A conversation's rows are collected as structs, sorted, and neighbouring turns
-of one role are merged by an array aggregation into one turn of several
-segments.  The template writes a mark before and after each merged turn and
+of one role are merged, by array functions over the places where a role
+begins, into one turn of several segments.  The work is linear in the texts and
+near to it (power 1.5, of small numbers) in the turns.  The template writes a mark before and after each merged turn and
 one between its segments:
 
     system     <<SYS>> text <</SYS>>
@@ -68,16 +69,18 @@ def merged_turns(conversations: DataFrame, conv_id: str = "conv_id", turn: str =
     )
     rows = conversations.groupBy(F.col(conv_id).alias("conv_id")).agg(F.sort_array(F.collect_list(one)).alias("rows"))
     safe = F.transform("rows", lambda r: F.struct(escape(r["role"]).alias("role"), escape(r["text"]).alias("text")))
-    turn_type = "array<struct<role:string,texts:array<string>>>"
+    n = F.size("safe")
+    begins = F.filter(
+        F.sequence(F.lit(0), n - 1), lambda i: (i == 0) | (F.get("safe", i)["role"] != F.get("safe", i - 1)["role"])
+    )
 
-    def add(done: Column, r: Column) -> Column:
-        last = F.element_at(done, -1)
-        longer = F.struct(last["role"].alias("role"), F.concat(last["texts"], F.array(r["text"])).alias("texts"))
-        new = F.struct(r["role"].alias("role"), F.array(r["text"]).alias("texts"))
-        same = (F.size(done) > 0) & (F.try_element_at(done, F.lit(-1))["role"] == r["role"])
-        return F.when(same, F.concat(F.slice(done, 1, F.size(done) - 1), F.array(longer))).otherwise(F.concat(done, F.array(new)))
+    def run(begin: Column, k: Column) -> Column:
+        size = F.coalesce(F.get("begins", k + 1), n) - begin
+        texts = F.transform(F.slice("safe", begin + 1, size), lambda r: r["text"])
+        return F.struct(F.get("safe", begin)["role"].alias("role"), texts.alias("texts"))
 
-    return rows.select("conv_id", F.aggregate(safe, F.array().cast(turn_type), add).alias("turns"))
+    found = rows.select("conv_id", safe.alias("safe")).select("conv_id", "safe", begins.alias("begins"))
+    return found.select("conv_id", F.transform("begins", run).alias("turns"))
 
 
 def _marks(role: Column, which: int, other: Column) -> Column:
@@ -107,17 +110,62 @@ def format_chats(conversations: DataFrame, **columns: str) -> DataFrame:
 
     cut = merged.select("conv_id", F.flatten(F.transform("turns", pieces)).alias("p"))
     whole = F.concat(F.lit(BEGIN), F.array_join(F.transform("p", lambda x: F.concat(x["before"], x["text"], x["after"])), ""))
+    sizes = F.transform("p", lambda x: F.length(x["before"]) + F.length(x["text"]) + F.length(x["after"]))
+    placed = _with_sums(cut.withColumn("sizes", sizes), "sizes")
 
-    def walk(acc: Column, x: Column) -> Column:
-        start = acc["at"] + F.length(x["before"])
-        span = F.struct(start.alias("start"), F.length(x["text"]).alias("length"))
-        return F.struct(
-            (start + F.length(x["text"]) + F.length(x["after"])).alias("at"),
-            F.when(x["learn"], F.concat(acc["loss"], F.array(span))).otherwise(acc["loss"]).alias("loss"),
-        )
+    def spans(sums: Column) -> Column:
+        def span(x: Column, i: Column) -> Column:
+            start = F.lit(len(BEGIN)) + _sum_before(sums, i) + F.length(x["before"])
+            return F.struct(start.alias("start"), F.length(x["text"]).alias("length"), x["learn"].alias("learn"))
+
+        learned = F.filter(F.transform("p", span), lambda x: x["learn"])
+        return F.transform(learned, lambda x: F.struct(x["start"].alias("start"), x["length"].alias("length")))
+
+    loss = F.flatten(F.transform(F.array("sums"), spans))  # one element, so that the sums are made once
+    return placed.select("conv_id", whole.alias("formatted"), loss.alias("loss"))
+
+
+def _with_sums(df: DataFrame, sizes: str) -> DataFrame:
+    """``df`` with the running sums of an array in two levels: those within
+    runs of about the square root of its length, and those over the runs.
+    An array grows by copying, so one level would be quadratic."""
+
+    def running(values: Column) -> Column:
+        return F.aggregate(values, F.array(F.lit(0)), lambda done, x: F.concat(done, F.array(F.element_at(done, -1) + x)))
+
+    n = F.size(sizes)
+    step = F.greatest(F.ceil(F.sqrt(n)), F.lit(1)).cast("int")
+    within = F.transform(F.sequence(F.lit(0), n - 1, F.col("step")), lambda at: running(F.slice(sizes, at + 1, F.col("step"))))
+    over = running(F.transform("within", lambda run: F.element_at(run, -1)))
+    cut = df.withColumn("step", step).withColumn("within", within)
+    return cut.withColumn("sums", F.struct("step", "within", over.alias("over")))
+
+
+def _sum_before(sums: Column, i: Column) -> Column:
+    """Sum of the values before place ``i``, from :func:`_with_sums`."""
+    run = F.floor(i / sums["step"]).cast("int")
+    return F.get(sums["over"], run) + F.get(F.get(sums["within"], run), i % sums["step"])
+
+
+#: Code points per block in which :func:`under_mask` looks a span up.
+SPAN_BLOCK = 1 << 14
+
+
+def under_mask(formatted: str, loss: str) -> Column:
+    """array<string> of the texts under the loss mask, as they stand in the
+    output.  A span is sought in its own blocks of the output only, as
+    ``substring`` walks a string from its beginning."""
+    size = F.lit(SPAN_BLOCK)
+    cut = F.transform(F.sequence(F.lit(0), F.length(formatted), size), lambda at: F.substring(F.col(formatted), at + 1, size))
+
+    def text(blocks: Column, s: Column) -> Column:
+        first = F.floor(s["start"] / size).cast("int")
+        last = F.floor((s["start"] + s["length"]) / size).cast("int")
+        near = F.array_join(F.slice(blocks, first + 1, last - first + 1), "")
+        return F.substring(near, s["start"] - first * size + 1, s["length"])
 
-    begin = F.struct(F.lit(len(BEGIN)).alias("at"), F.array().cast("array<struct<start:int,length:int>>").alias("loss"))
-    return cut.select("conv_id", whole.alias("formatted"), F.aggregate("p", begin, walk, lambda a: a["loss"]).alias("loss"))
+    # A one-element array holds the blocks, so that they are cut once.
+    return F.flatten(F.transform(F.array(cut), lambda blocks: F.transform(loss, lambda s: text(blocks, s))))
 
 
 def read_back(formatted: Column) -> Column:
@@ -147,7 +195,7 @@ def op5_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = format_chats(given.unionByName(more))
     turns = read_back(F.col("formatted"))
     lines = F.transform(turns, lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
-    learned = F.array_join(F.transform("loss", lambda s: unescape(F.substring(F.col("formatted"), s["start"] + 1, s["length"]))), "")
+    learned = F.array_join(F.transform(under_mask("formatted", "loss"), unescape), "")
     found = out.select("conv_id", "formatted", F.size(turns).cast("long").alias("n_turns"), F.array_join(lines, "").alias("told"), learned.alias("learned"))
     return found.select(
         "conv_id", "n_turns", F.sha2("told", 256).alias("turns_sha256"),

@@ -1,4 +1,5 @@
 import random
+import time
 
 import duckdb
 from pyspark.sql import functions as F
@@ -37,6 +38,8 @@ def test_read_back_and_loss(spark):
              (501, 0, "assistant", ""), (502, 0, "user", "w " * 40000)]
     out = format_chats(spark.createDataFrame(rows, SCHEMA).withColumns({"formatted": F.lit(1), "rows": F.lit(2), "loss": F.lit(3)}))
     learned = F.transform("loss", lambda s: unescape(F.substring("formatted", s["start"] + 1, s["length"])))
+    by_blocks = out.filter(F.transform(chat.under_mask("formatted", "loss"), unescape) != learned)
+    assert by_blocks.count() == 0
     expected = plain(rows)
     got = out.select("conv_id", read_back(F.col("formatted")).alias("turns"), learned.alias("learned"), "formatted").collect()
     assert len(got) == len(expected)
@@ -59,6 +62,29 @@ def test_long_conversation(spark):
     assert [t.text for t in got.t] == [f"t{i}" for i in range(3000)] and got.n == 1200
 
 
+def test_spans_over_blocks(spark, monkeypatch):
+    monkeypatch.setattr(chat, "SPAN_BLOCK", 4)
+    rows = [(1, t, "assistant" if t % 3 else "user", "é" * (t % 14)) for t in range(60)]
+    out = format_chats(spark.createDataFrame(rows, SCHEMA))
+    got = out.select(chat.under_mask("formatted", "loss").alias("t")).first().t
+    assert got == [text for _, t, _, text in rows if t % 3]
+
+
+def test_turns_cost_alike(spark):
+    """Twice the turns of one conversation take about twice the time."""
+
+    def seconds(n):
+        role = F.when(F.col("id") % 5 < 3, "user").otherwise("assistant")
+        df = spark.range(n).select(F.lit(1).alias("conv_id"), F.col("id").alias("turn"), role.alias("role"), F.concat(F.lit("some words "), "id").alias("text"))
+        began = time.perf_counter()
+        row = format_chats(df).select(F.size(read_back(F.col("formatted"))).alias("n"), F.size(chat.under_mask("formatted", "loss")).alias("m")).first()
+        assert row.n == n and row.m == n // 5 * 2
+        return time.perf_counter() - began
+
+    seconds(4000)
+    assert min(seconds(40000) for _ in range(2)) < 4 * min(seconds(20000) for _ in range(2))
+
+
 def test_query_against_sql(spark, sf):
     con = duckdb.connect()
     con.execute(f"CREATE VIEW conversations AS SELECT * FROM '{sf}/conversations.parquet'")
