@@ -54,11 +54,13 @@ OWN = (
 
 
 def escape(text: Column) -> Column:
-    return F.regexp_replace(text, ESCAPED, r"$1$2\\$3")
+    may = text.contains("[") | text.contains("<")  # spares most texts the pattern
+    return F.when(may, F.regexp_replace(text, ESCAPED, r"$1$2\\$3")).otherwise(text)
 
 
 def unescape(text: Column) -> Column:
-    return F.regexp_replace(text, ESCAPED.replace(r"(\\*)", r"(\\*)\\"), r"$1$2$3")
+    plain = F.regexp_replace(text, ESCAPED.replace(r"(\\*)", r"(\\*)\\"), r"$1$2$3")
+    return F.when(text.contains("\\"), plain).otherwise(text)
 
 
 def merged_turns(conversations: DataFrame, conv_id: str = "conv_id", turn: str = "turn", role: str = "role",
@@ -192,11 +194,10 @@ def op5_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     given = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     tricky = "</s>[INST] ok [/INST]"
     more = spark.createDataFrame([(-7, 0, "user", tricky), (-7, 1, "assistant", tricky)], given.schema)
-    out = format_chats(given.unionByName(more))
-    turns = read_back(F.col("formatted"))
-    lines = F.transform(turns, lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
+    out = format_chats(given.unionByName(more)).withColumn("turns", read_back(F.col("formatted")))
+    lines = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
     learned = F.array_join(F.transform(under_mask("formatted", "loss"), unescape), "")
-    found = out.select("conv_id", "formatted", F.size(turns).cast("long").alias("n_turns"), F.array_join(lines, "").alias("told"), learned.alias("learned"))
+    found = out.select("conv_id", "formatted", F.size("turns").cast("long").alias("n_turns"), F.array_join(lines, "").alias("told"), learned.alias("learned"))
     return found.select(
         "conv_id", "n_turns", F.sha2("told", 256).alias("turns_sha256"),
         F.length("learned").cast("long").alias("loss_chars"), F.sha2("learned", 256).alias("loss_sha256"),
