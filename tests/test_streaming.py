@@ -130,3 +130,59 @@ def test_mixed_layouts(spark):
     expected |= {(2005, 2, "02.0202", "Bachelor's degree", 1, r.value, g.value, i) for i, (r, g) in enumerate(PRE_2010_CODES.values(), 1)}
     expected |= {(2015, 3, "03.0303", "Master's degree", 2, *[x.value for x in POST_2010_CODES[c]], i) for i, c in enumerate(post[::-1], 1)}
     assert got == expected
+
+
+def test_stream_carries_files_not_rows(spark):
+    root, target = tempfile.mkdtemp(prefix="eqs-land-"), tempfile.mkdtemp(prefix="eqs-fact-") + "/fact"
+    ckpt = tempfile.mkdtemp(prefix="eqs-ckpt-")
+    empty = spark.createDataFrame([], "origin_code string, dest_code string")
+    hops = [X.Hop(1984, 2019, empty, spark.createDataFrame([], "code string, title string"))]
+    lookup = X.taxonomy_lookup(spark.createDataFrame(
+        [], "code string, title string, ncses_sci_group string, ncses_field_group string, ncses_detailed_field_group string"))
+    stem = spark.createDataFrame([("01.0002",)], "code string")
+    os.makedirs(f"{root}/2014")
+    open(f"{root}/2014/empty.csv", "w").close()
+    q = start_ingest(spark, root, COLS, target, ckpt, hops, lookup, stem)
+    q.awaitTermination(120)
+    assert q.exception() is None
+    write(root, 2015, "c.csv", [row(u, "01.0001", 3) for u in range(50)])
+    q = start_ingest(spark, root, COLS, target, ckpt, hops, lookup, stem)
+    q.awaitTermination(120)
+    assert sum(p["numInputRows"] for p in q.recentProgress) == 1
+    assert spark.read.parquet(target).select("unitid").distinct().count() == 50
+
+
+def test_files_of_a_year_are_bounded(spark):
+    """However many tasks write, a year has YEAR_FILES files at most."""
+    from equiscope.plans.etl_registry import YEAR_FILES, by_year
+
+    rows = spark.range(0, 4000, 1, 60).selectExpr("id as unitid", "cast(id % 7 as string) as cipcode", "2000 + id % 2 as year")
+    spark.conf.set("spark.sql.shuffle.partitions", "60")
+    try:
+        root = tempfile.mkdtemp(prefix="eqs-years-") + "/x"
+        by_year(rows).write.partitionBy("year").csv(root)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    for y in (2000, 2001):
+        assert len([f for f in os.listdir(f"{root}/year={y}") if f.endswith(".csv")]) <= YEAR_FILES
+    assert spark.read.csv(root).count() == 4000
+
+
+def test_codes_are_looked_up_before_the_unpivot(spark):
+    from equiscope.plans.yearly import completions_from_wide
+
+    empty = spark.createDataFrame([], "origin_code string, dest_code string")
+    hops = [X.Hop(1984, 2019, empty, spark.createDataFrame([], "code string, title string"))]
+    lookup = X.taxonomy_lookup(spark.createDataFrame(
+        [("01.0002", "Two", "Science and engineering", "Engineering", "Other Engineering")],
+        "code string, title string, ncses_sci_group string, ncses_field_group string, ncses_detailed_field_group string"))
+    cells = ", ".join(f"{c} string" for c in POST_2010_CODES)
+    wide = spark.createDataFrame([(1, "01.0002", 5, 1, 2015, "4", "0", *[None] * 16)],
+                                 f"unitid long, cipcode string, awlevel int, majornum int, year int, {cells}")
+    out = completions_from_wide(wide, hops, lookup, spark.createDataFrame([("01.0002",)], "code string"))
+    lines = out._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    spread = next(i for i, x in enumerate(lines) if "Generate" in x or "Expand" in x)
+    assert not any("Join" in x for x in lines[:spread])
+    rows = out.collect()
+    assert len(rows) == 17 and {(r.cip_title, r.dhs_stem) for r in rows} == {("Two", True)}
+    assert out.columns[6:10] == ["race_ethnicity", "gender", "n_awards", "cip_title"]
