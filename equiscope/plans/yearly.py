@@ -50,11 +50,14 @@ def completions_from_wide(
     )
     df = S.filter_total_codes(df)
     df = X.crosswalk_chain(df, hops, "cipcode", "year", "cip2020", None)
+    # fields and flags follow from the codes: looked up per wide row, not per cell
+    cells = [c for c in df.columns if c in measures]
+    df = X.classify_stem(X.classify_taxonomy(df, lookup, "cipcode", "cip2020"), stem_codes, "cip2020")
     ids = IDS + list(extra_ids) + ["cip2020"]
-    tidy = S.filter_zero(S.unpivot_groups(df.select(*ids, *[c for c in df.columns if c not in ids]), ids, code_set))
-    tidy = X.classify_taxonomy(tidy, lookup, "cipcode", "cip2020")
+    fields = [c for c in df.columns if c not in [*ids, *cells]]
+    tidy = S.filter_zero(S.unpivot_groups(df.select(*ids, *fields, *cells), [*ids, *fields], code_set))
     tidy = tidy.withColumn("n_awards", F.expr("cast(trim(n_awards) as bigint)"))
-    return X.classify_stem(tidy, stem_codes, "cip2020")
+    return tidy.select(*ids, "race_ethnicity", "gender", "n_awards", *fields)
 
 
 def read_completions(
