@@ -227,3 +227,45 @@ def test_read_institutions(spark):
     assert got[1]["institution_name"] == "Institute of Technology" and got[1]["tech_school"] is True
     assert got[1]["control"] == "Public" and got[1]["state"] == "CA" and got[1]["metadata_vintage"] == 2021
     assert got[2]["control"] == "Private" and got[3]["health_school"] is True and got[3]["control"] is None
+
+
+def test_tried_is_try_cast(spark):
+    """The guard before the cast takes every text that the cast takes."""
+    from pyspark.sql.types import BooleanType, DoubleType, IntegerType, LongType
+
+    texts = ["1", "-1", "+7", " 12\t", "\n3 ", "", " ", "twelve", "1.5", "1.", ".5", "1e3", "0x1", "1 2", "--1", "1L", "\x003\x7f",
+             "\u00a05", "\u0663", "2147483648", "9223372036854775808", "true", "TRUE ", "t", "Yes", "no", "n", "0", "off", "tru", "1.5x",
+             "NaN", "-", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    for kind in (IntegerType(), LongType(), BooleanType(), DoubleType()):
+        rows = df.select("t", F.col("t").try_cast(kind).alias("a"), FS.tried(F.col("t"), kind).alias("b")).collect()
+        assert [(r.t, r.a) for r in rows if r.t != "NaN"] == [(r.t, r.b) for r in rows if r.t != "NaN"]
+
+
+def test_unpivot_after_one_shuffle(spark):
+    """Codes are summed in one aggregate; labels come with the cells."""
+    from equiscope.plans import etl_registry as E
+
+    ids = {c: F.lit(1) if c != "cipcode" else F.lit("01") for c in E.IDS}
+    rows = [("cunknm", 3), ("cunknm", 5), ("cnralw", 7), ("other", 1), (None, 1)]
+    long = spark.createDataFrame(rows, "code string, n_awards long").withColumns(ids)
+    wide = E.wide_from(long)
+    assert wide._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+    tidy = S.unpivot_groups(wide, E.IDS)
+    assert "map" not in tidy._jdf.queryExecution().analyzed().toString().lower()
+    got = {(r.race_ethnicity, r.gender): r.n_awards for r in tidy.collect()}
+    expected = {tuple(x.value for x in rg): None for rg in S.POST_2010_CODES.values()}
+    expected |= {tuple(x.value for x in S.POST_2010_CODES["cunknm"]): "1", tuple(x.value for x in S.POST_2010_CODES["cnralw"]): "0"}
+    assert got == expected
+
+
+def test_layouts_of_one_join(spark):
+    """One pass over the tables gives the wide rows of every layout."""
+    from equiscope.plans import etl_registry as E
+
+    sf = "/root/testdata/sf0.001"
+    for i, w in enumerate(E.layouts_wide(spark, sf)):
+        assert all("/layout-sums-" in f for f in w.inputFiles())
+        other = E.layout_wide(spark, sf, i)
+        assert w.columns == other.columns
+        assert sorted(map(str, w.collect())) == sorted(map(str, other.collect()))
